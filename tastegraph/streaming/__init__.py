@@ -1,0 +1 @@
+"""Empty on purpose: every source of this workload is a batch read, no operator keeps stream state."""
