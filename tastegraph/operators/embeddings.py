@@ -29,12 +29,16 @@ def fit_word2vec(
     seed: int = 42,
 ) -> Word2VecModel:
     """Skip-gram model of token arrays; each of ``partitions`` trains on its share of the sentences."""
-    tokens = corpus.select(F.col(column).cast("array<string>").alias("tokens"))
+    tokens = corpus.select(F.col(column).cast("array<string>").alias("tokens")).persist()
     partitions = partitions or corpus.sparkSession.sparkContext.defaultParallelism
-    return Word2Vec(
+    estimator = Word2Vec(
         vectorSize=size, windowSize=window, maxIter=iterations, minCount=min_count,
         numPartitions=partitions, seed=seed, inputCol="tokens", outputCol="mean",
-    ).fit(tokens)
+    )
+    try:
+        return estimator.fit(tokens)
+    finally:
+        tokens.unpersist()
 
 
 def item2vec(ratings: DataFrame, min_rating: float = 3.5, **options) -> Word2VecModel:

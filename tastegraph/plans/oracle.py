@@ -114,7 +114,7 @@ cosines AS (
   SELECT "movieIdHead", "movieIdTail", product, product / (sqrt(h.n) * sqrt(t.n)) AS cos
   FROM pair_sums JOIN item_norm h ON h."movieId" = "movieIdHead" JOIN item_norm t ON t."movieId" = "movieIdTail"
   WHERE round(product / (sqrt(h.n) * sqrt(t.n)), 6) >= {min_cos}),
-similar AS (
+both_ways AS (
   SELECT "movieIdHead" AS "movieId", "movieIdTail", cos FROM cosines
   UNION ALL SELECT "movieIdTail", "movieIdHead", cos FROM cosines)"""
 
@@ -221,8 +221,8 @@ def oracle_sql() -> dict[str, str]:
         "movie_rating_stats": _with(RATINGS) + f"""SELECT "movieId", count(*) AS "ratingCount", {_r('avg(rating)', 6)} AS "avgRating",
             {_r('var_samp(rating)', 6)} AS "ratingVar", {_r('stddev_samp(rating)', 6)} AS "ratingStddev" FROM ratings GROUP BY "movieId" """,
         "latest_ratings": _with(RATINGS) + """SELECT "userId", "movieId", rating, timestamp FROM (
-            SELECT "userId", CAST(right(p_brand, 2) AS BIGINT) AS "movieId", rating, timestamp,
-                   row_number() OVER (PARTITION BY "userId", right(p_brand, 2) ORDER BY timestamp DESC, rating DESC) AS rn
+            SELECT "userId", CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS "movieId", rating, timestamp,
+                   row_number() OVER (PARTITION BY "userId", p_brand ORDER BY timestamp DESC, rating DESC) AS rn
             FROM ratings JOIN part ON p_partkey = "movieId") WHERE rn = 1""",
         "movie_rolling_features": _with(RATINGS, _movie_rolling(100)) + "SELECT * FROM movie_rolling",
         "user_rolling_features": _with(
@@ -256,11 +256,11 @@ def oracle_sql() -> dict[str, str]:
             h."itemNorm" AS "itemNormHead", t."itemNorm" AS "itemNormTail"
             FROM edges LEFT JOIN norms h ON h."movieId" = src LEFT JOIN norms t ON t."movieId" = dst""",
         "min_similarity": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieIdHead", "movieIdTail", {_r('cos', 6)} AS cos FROM cosines""",
-        "similar_items": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieId", "movieIdTail", {_r('cos', 6)} AS cos FROM similar""",
+        "similar_items": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieId", "movieIdTail", {_r('cos', 6)} AS cos FROM both_ways""",
         "item_cf_lists": _with(
             RATINGS, f"train AS (SELECT * FROM ratings WHERE {key} < 0.8)", _cosines(0.2, "train")
         ) + """SELECT "movieId", CAST(0 AS BIGINT) AS page, array_to_string(list_sort(list("movieIdTail" || ':' || format('{:.5f}', cos))), ' ') AS "simList"
-            FROM similar GROUP BY "movieId" """,
+            FROM both_ways GROUP BY "movieId" """,
         "user_sequences": _with(RATINGS) + """SELECT "userId", CAST(0 AS BIGINT) AS part,
             string_agg(CAST("movieId" AS VARCHAR), ' ' ORDER BY timestamp, "movieId") AS "movieIdStr"
             FROM ratings WHERE rating >= 3.5 GROUP BY "userId" """,

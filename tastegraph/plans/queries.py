@@ -156,7 +156,7 @@ def movie_rating_stats(spark, folder):
 @query
 def latest_ratings(spark, folder):
     """One rating per (user, part brand): the latest of many."""
-    part = tables.table(spark, folder, "part").select(F.col("p_partkey").alias("movieId"), F.substring("p_brand", -2, 2).cast("bigint").alias("brand"))
+    part = tables.table(spark, folder, "part").select(F.col("p_partkey").alias("movieId"), F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("bigint").alias("brand"))
     rated = tables.ratings(spark, folder).join(part, "movieId")
     return samples.latest_ratings(rated.select("userId", F.col("brand").alias("movieId"), "rating", "timestamp"))
 
@@ -617,12 +617,7 @@ def _factor_sets(spark, folder):
 
 def _fit_and_score(fit, sets):
     train, test = sets
-    train = train.persist()
-    try:
-        model = fit(train)
-    finally:
-        train.unpersist()
-    return rankers.score_batch(model, test)
+    return rankers.score_batch(fit(train), test)
 
 
 @query
@@ -693,7 +688,7 @@ def pair_interaction_strength(spark, folder):
 def repeated_runs(spark, folder):
     """Mean and deviation of the test RMSE over seeds."""
     train, test = _record_sets(spark, folder, 64)
-    runs = rankers.repeated_runs(train.persist(), test, ["none", "low_rank"], 3)
+    runs = rankers.repeated_runs(train, test, ["none", "low_rank"], 3)
     return metrics.metric_summary(runs, "crosses", "rmse")
 
 
