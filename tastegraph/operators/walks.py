@@ -1,9 +1,11 @@
 """Seeded random walks over typed graphs.
 
 Edges are kept as occurrences and numbered within (source, target type); drawing a number below the
-group's size picks a target with probability proportional to its count. A step is then an equi-join on
-(source, target type, number): each walker meets one row, whatever the degree of its node, and hubs are
-spread by the number. All steps form one lazy plan.
+group's size picks a target with probability proportional to its count. Number and type make up a slot, and
+a step is an equi-join on (source, slot): each walker meets one row, whatever the degree of its node, and
+hubs are spread by the slot. Where far more walkers arrive than there are edges to leave by, the edges are
+repeated under further slots, so that the walkers of one node never meet in one task. All steps form one
+lazy plan.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from tastegraph.session import durable
 
 # Letters of a path and the node types they stand for.
 NODE_TYPES = {"i": "item", "u": "user", "g": "genre"}
+TYPE_CODES = {name: code for code, name in enumerate(NODE_TYPES.values())}
 # The standard mix of paths and the number of walks on each.
 METAPATHS = [
     ("uiiuiiuiiu", 20_000), ("igiuigiuigi", 10_000), ("iiuiigiiuii", 10_000),
@@ -31,39 +34,72 @@ def _by_letter(letter: Column, values: dict[str, Column]) -> Column:
     return reduce(lambda chain, kv: chain.when(letter == kv[0], kv[1]), values.items(), F)
 
 
-def numbered_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Edges numbered within (src, dst_type), each with the group sizes its target offers next.
+SIZES = [f"to_{name}" for name in TYPE_CODES]
 
-    Written once, partitioned for the steps: every step reads it, none shuffles it again.
-    """
-    sizes = edges.groupBy(F.col("src").alias("dst")).agg(
-        *[F.count_if(F.col("dst_type") == name).alias(f"to_{name}") for name in NODE_TYPES.values()]
+
+def node_sizes(edges: DataFrame) -> DataFrame:
+    """Per node the edges leaving to each type and ``came``, the edges arriving."""
+    ends = F.array(
+        F.struct(F.col("src").alias("node"), F.col("dst_type").alias("to"), F.lit(0).alias("came")),
+        F.struct(F.col("dst").alias("node"), F.lit(None).cast("string").alias("to"), F.lit(1).alias("came")),
     )
-    numbered = positions(edges, ["src", "dst_type"], ["dst", "tie"], "pos", hot_rows).join(sizes, "dst", "left")
+    return edges.select(F.inline(ends)).groupBy("node").agg(
+        *[F.count_if(F.col("to") == name).alias(f"to_{name}") for name in TYPE_CODES],
+        F.sum("came").alias("came"),
+    )
+
+
+def _copies(came: Column, offered: Column, hot_rows: int) -> Column:
+    """How often the edges of a group are repeated: about one copy per ``hot_rows`` arrivals per edge."""
+    return F.greatest(F.ceil(came / (offered * F.lit(hot_rows))), F.lit(1)).cast("bigint")
+
+
+def numbered_edges(edges: DataFrame, nodes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Edges numbered within (src, dst_type), each with the sizes of its target.
+
+    Written once, partitioned and sorted by (src, slot): a step brings the walkers to the edges and neither
+    shuffles nor sorts the edges again.
+    """
+    numbered = positions(edges, ["src", "dst_type"], ["dst", "tie"], "pos", hot_rows)
+    code = _by_letter(F.col("dst_type"), {name: F.lit(code) for name, code in TYPE_CODES.items()})
+    offered = _by_letter(F.col("dst_type"), {name: F.col(f"to_{name}") for name in TYPE_CODES})
+    crowded = nodes.filter(F.col("came") > hot_rows)
+    if crowded.isEmpty():
+        numbered = numbered.withColumns({"copies": F.lit(1).cast("bigint"), "copy": F.lit(0).cast("bigint")})
+    else:
+        numbered = (
+            numbered.join(crowded.withColumnRenamed("node", "src"), "src", "left")
+            .withColumn("copies", F.coalesce(_copies(F.col("came"), offered, hot_rows), F.lit(1)))
+            .drop(*SIZES, "came")
+            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+        )
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return durable(
-        numbered.na.fill(0, [f"to_{name}" for name in NODE_TYPES.values()])
-        .select("src", "src_type", "dst_type", "pos", "dst", *[f"to_{name}" for name in NODE_TYPES.values()])
-        .repartition(parts, "src", "dst_type", "pos")
+        numbered.join(nodes.withColumnRenamed("node", "dst"), "dst")
+        .withColumn("slot", (F.col("pos") * F.col("copies") + F.col("copy")) * len(TYPE_CODES) + code)
+        .select("src", "slot", "src_type", "dst_type", "pos", "copy", "dst", *SIZES, "came")
+        .repartition(parts, "src", "slot").sortWithinPartitions("src", "slot")
     )
 
 
-def start_nodes(numbered: DataFrame) -> DataFrame:
+def start_nodes(numbered: DataFrame, nodes: DataFrame) -> DataFrame:
     """Possible starts, numbered per start type over item-item and user-item occurrences."""
-    leaving = numbered.filter(F.col("src_type").isin("item", "user") & (F.col("dst_type") == "item"))
-    sizes = leaving.groupBy("src_type", "src").agg(F.count(F.lit(1)).alias("n"))
+    places = _leaving(numbered).select("src_type", "src", "pos")
+    sizes = places.groupBy("src_type", "src").agg(F.count(F.lit(1)).alias("n"))
     offsets = running_total(sizes, {"before": F.col("n")}, ["src"], ["src_type"])
-    # group sizes of the start node itself come from its own edges
-    own = numbered.groupBy("src").agg(
-        *[F.count_if(F.col("dst_type") == name).alias(f"to_{name}") for name in NODE_TYPES.values()]
-    )
-    nodes = offsets.join(own, "src")
-    places = leaving.select("src_type", "src", "pos")
-    return places.join(nodes, ["src_type", "src"]).select(
+    known = offsets.join(nodes.withColumnRenamed("node", "src"), "src")
+    return places.join(known, ["src_type", "src"]).select(
         F.col("src_type").alias("start_type"),
         (F.col("before") + F.col("pos")).alias("place"),
         F.col("src").alias("node"),
-        *[f"to_{name}" for name in NODE_TYPES.values()],
+        *SIZES, "came",
+    )
+
+
+def _leaving(numbered: DataFrame) -> DataFrame:
+    """Occurrences a walk may start with, each once."""
+    return numbered.filter(
+        F.col("src_type").isin("item", "user") & (F.col("dst_type") == "item") & (F.col("copy") == 0)
     )
 
 
@@ -84,11 +120,11 @@ def metapath_walks(
         if not path or set(path) - set(NODE_TYPES):
             raise ValueError(f"unknown node type in path {path!r}")
     spark = edges.sparkSession
-    numbered = numbered_edges(edges, hot_rows)
+    nodes = durable(node_sizes(edges))
+    numbered = numbered_edges(edges, nodes, hot_rows)
     totals = {
         row.src_type: row.n
-        for row in numbered.filter(F.col("src_type").isin("item", "user") & (F.col("dst_type") == "item"))
-        .groupBy("src_type").agg(F.count(F.lit(1)).alias("n")).collect()
+        for row in _leaving(numbered).groupBy("src_type").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     parts = []
     for path_id, (path, count) in enumerate(paths):
@@ -102,34 +138,32 @@ def metapath_walks(
     if not parts:
         return spark.createDataFrame([], "path_id int, path string, walk bigint, nodes array<string>")
     walkers = reduce(DataFrame.unionByName, parts)
-    sizes = [f"to_{name}" for name in NODE_TYPES.values()]
+    carried = [*SIZES, "came"]
     walkers = (
-        walkers.join(start_nodes(numbered), ["start_type", "place"])
-        .select("path_id", "path", "walk", F.array("node").alias("nodes"), "node", *sizes)
+        walkers.join(start_nodes(numbered, nodes), ["start_type", "place"])
+        .select("path_id", "path", "walk", F.array("node").alias("nodes"), "node", *carried)
     )
     step_edges = numbered.select(
-        F.col("src").alias("_src"), F.col("dst_type").alias("_type"), F.col("pos").alias("_pos"),
-        F.col("dst").alias("_dst"), *[F.col(s).alias(f"_{s}") for s in sizes],
+        F.col("src").alias("_src"), F.col("slot").alias("_slot"), F.col("dst").alias("_dst"),
+        *[F.col(c).alias(f"_{c}") for c in carried],
     )
     for step in range(1, max(len(path) for path, _ in paths)):
         letter = F.substring("path", step + 1, 1)
-        offered = _by_letter(letter, {k: F.col(f"to_{v}") for k, v in NODE_TYPES.items()})
+        offered = F.nullif(_by_letter(letter, {k: F.col(f"to_{v}") for k, v in NODE_TYPES.items()}), F.lit(0))
+        code = _by_letter(letter, {k: F.lit(TYPE_CODES[v]) for k, v in NODE_TYPES.items()})
         number = F.pmod(draw(str(seed), F.col("path_id"), F.col("walk"), step), offered)
-        moving = walkers.withColumns({
-            "_want": _by_letter(letter, {k: F.lit(v) for k, v in NODE_TYPES.items()}),
-            # finished walks match nothing; their own number keeps them spread over the partitions
-            "_number": F.when(offered > 0, number).otherwise(-1 - F.col("walk")),
-        })
-        moved = moving.join(
-            step_edges,
-            (F.col("node") == F.col("_src")) & (F.col("_want") == F.col("_type")) & (F.col("_number") == F.col("_pos")),
-            "left",
+        copies = _copies(F.col("came"), offered, hot_rows)
+        slot = (number * copies + F.pmod(F.col("walk"), copies)) * len(TYPE_CODES) + code
+        # finished walks match nothing; their own number keeps them spread over the partitions
+        slot = F.coalesce(slot, -1 - F.col("walk"))
+        moved = walkers.withColumn("_next", slot).join(
+            step_edges, (F.col("node") == F.col("_src")) & (F.col("_next") == F.col("_slot")), "left"
         )
         walkers = moved.select(
             "path_id", "path", "walk",
             F.when(F.col("_dst").isNotNull(), F.array_append("nodes", F.col("_dst"))).otherwise(F.col("nodes")).alias("nodes"),
             F.col("_dst").alias("node"),
-            *[F.coalesce(F.col(f"_{s}"), F.lit(0)).alias(s) for s in sizes],
+            *[F.coalesce(F.col(f"_{c}"), F.lit(0)).alias(c) for c in carried],
         )
     return walkers.select("path_id", "path", "walk", "nodes")
 

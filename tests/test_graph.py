@@ -65,6 +65,16 @@ def test_walks_do_not_depend_on_hot_keys_or_partitions(spark, rated, films):
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
 
 
+def test_crowded_node_with_one_way_out(spark):
+    rows = [(f"s{i}", "item", "hub", "item", i) for i in range(60)] + [("hub", "item", "end", "item", 0)]
+    edges = spark.createDataFrame(rows, "src string, src_type string, dst string, dst_type string, tie bigint")
+    plain = walks.metapath_walks(edges, [("iii", 500)], seed=5)
+    split = walks.metapath_walks(edges, [("iii", 500)], seed=5, hot_rows=7)
+    numbered = walks.numbered_edges(edges, walks.node_sizes(edges), 7)
+    assert numbered.filter("src = 'hub'").count() == 9
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
 def test_walk_stops_at_dead_end_and_missing_type(spark, ratings_of):
     rows = [(1, 1, 5.0, 1), (1, 2, 5.0, 2)]
     films = spark.createDataFrame([(1, "A", "Action")], MOVIES)
