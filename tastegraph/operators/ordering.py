@@ -132,7 +132,8 @@ def over_history(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Apply ``add(rows, window)`` per key, where ``add`` looks back at most ``history`` rows."""
-    rows, groups = in_chunks(df, key, order, history, hot_rows, max(chunk_rows, history, 1))
+    chunk_rows = max(min(chunk_rows, hot_rows), history, 1)
+    rows, groups = in_chunks(df, key, order, history, hot_rows, chunk_rows)
     result = add(rows, Window.partitionBy(*groups).orderBy(*order))
     if len(groups) == 1:
         return result

@@ -200,18 +200,18 @@ def oracle_sql() -> dict[str, str]:
     split_case = "CASE WHEN {u} < 0.8 THEN 'train' ELSE 'test' END"
     key = _unit('"userId"', '"movieId"')
     sql = {
-        "read_ratings_csv": _with(RATINGS) + "SELECT * FROM ratings",
-        "read_movies_csv": _with(MOVIES) + "SELECT * FROM movies",
-        "read_samples_csv": _with(*_fer()) + "SELECT * REPLACE ("
+        "read_ratings": _with(RATINGS) + "SELECT * FROM ratings",
+        "read_movies": _with(MOVIES) + "SELECT * FROM movies",
+        "read_samples": _with(*_fer()) + "SELECT * REPLACE ("
         + ", ".join([f"""coalesce("{c}", '') AS "{c}" """ for c in _text_columns] + [f'coalesce("{c}", 0) AS "{c}"' for c in _number_columns])
         + ") FROM fer",
-        "user_item_records": _with(RATINGS, RECORDS) + "SELECT * FROM records",
-        "write_samples_parquet": _with(*_fer()) + "SELECT label, count(*) AS n FROM fer GROUP BY label",
-        "write_embeddings_text": """SELECT vec_id || ':' || array_to_string(
+        "read_user_item_records": _with(RATINGS, RECORDS) + "SELECT * FROM records",
+        "write_samples": _with(*_fer()) + "SELECT label, count(*) AS n FROM fer GROUP BY label",
+        "write_embeddings": """SELECT vec_id || ':' || array_to_string(
             list_transform(embedding, lambda v: CAST(floor(CAST(v AS DOUBLE) * 1000) AS INT)), ' ') AS line FROM embeddings""",
         "fer_samples": _with(*_fer()) + "SELECT * FROM fer",
         "fer_samples_short_history": _with(*_fer(20)) + "SELECT * FROM fer",
-        "fer_samples_split_keys": _with(*_fer()) + "SELECT * FROM fer",
+        "fer_samples_split_keys": _with(*_fer(20)) + "SELECT * FROM fer",
         "fer_samples_printed": _with(*_fer()) + "SELECT * REPLACE ("
         + ", ".join(f"""format('{{:,.2f}}', "{c}") AS "{c}" """ for c in _printed) + ") FROM fer",
         "positive_ratings": _with(RATINGS) + "SELECT * FROM ratings WHERE rating >= 3.5",
@@ -236,6 +236,11 @@ def oracle_sql() -> dict[str, str]:
         "release_year": _with(MOVIES) + f"""SELECT "movieId", title, {YEAR} AS "releaseYear" FROM movies""",
         "split_genres": _with(MOVIES, PROFILE)
         + """SELECT "movieId", gl[1] AS "movieGenre1", gl[2] AS "movieGenre2", gl[3] AS "movieGenre3" FROM profile""",
+        "min_history_filter": _with(
+            RATINGS, MOVIES, PROFILE,
+            "labelled AS (SELECT *, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS label FROM ratings)",
+            _user_rolling("labelled", 100, ""),
+        ) + """SELECT "userRatingCount", count(*) AS n FROM fer WHERE "userRatingCount" >= 10 GROUP BY "userRatingCount" """,
         "user_timeline": _with(*_fer()) + """SELECT * FROM fer WHERE "userId" = (SELECT min("userId") FROM fer)""",
         "sample_fraction": _with(RATINGS) + f"SELECT * FROM ratings WHERE {key} < 0.1",
         "random_split": _with(RATINGS) + f"SELECT *, {split_case.format(u=key)} AS split FROM ratings",
@@ -251,13 +256,17 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', "userId", "movieId"))) - 1 AS place, '' AS split
             FROM ratings) WHERE place < 50000""",
         "cooccurring_pairs": _with(RATINGS, _cosines(0.2)) + 'SELECT "movieIdHead", "movieIdTail", product FROM cosines',
+        "pair_product_sum": _with(RATINGS, _cosines(0.2))
+        + f"""SELECT "movieIdHead", "movieIdTail", product, {_r('cos', 6)} AS cos FROM cosines""",
+        "cosine": _with(RATINGS, NORMS) + f"""SELECT "movieId",
+            {_r('"itemNorm" / (sqrt("itemNorm") * sqrt((SELECT max("itemNorm") FROM norms)))', 6)} AS cos FROM norms""",
         "item_norms": _with(RATINGS, NORMS) + "SELECT * FROM norms",
         "attach_norms": _with(RATINGS, PAIRS, NORMS) + """SELECT src AS "movieIdHead", dst AS "movieIdTail", cnt,
             h."itemNorm" AS "itemNormHead", t."itemNorm" AS "itemNormTail"
             FROM edges LEFT JOIN norms h ON h."movieId" = src LEFT JOIN norms t ON t."movieId" = dst""",
-        "min_similarity": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieIdHead", "movieIdTail", {_r('cos', 6)} AS cos FROM cosines""",
+        "min_similarity_filter": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieIdHead", "movieIdTail", {_r('cos', 6)} AS cos FROM cosines""",
         "similar_items": _with(RATINGS, _cosines(0.2)) + f"""SELECT "movieId", "movieIdTail", {_r('cos', 6)} AS cos FROM both_ways""",
-        "item_cf_lists": _with(
+        "item_cf": _with(
             RATINGS, f"train AS (SELECT * FROM ratings WHERE {key} < 0.8)", _cosines(0.2, "train")
         ) + """SELECT "movieId", CAST(0 AS BIGINT) AS page, array_to_string(list_sort(list("movieIdTail" || ':' || format('{:.5f}', cos))), ' ') AS "simList"
             FROM both_ways GROUP BY "movieId" """,
@@ -268,6 +277,9 @@ def oracle_sql() -> dict[str, str]:
         "edge_counts": _with(RATINGS, PAIRS) + "SELECT * FROM edges",
         "transition_probabilities": _with(RATINGS, PAIRS)
         + "SELECT src, dst, cnt, round(cnt / CAST(sum(cnt) OVER (PARTITION BY src) AS DOUBLE), 9) AS p FROM edges",
+        "item_graph": _with(RATINGS, PAIRS) + """SELECT src, dst, cnt,
+            round(cnt / CAST(sum(cnt) OVER (PARTITION BY src) AS DOUBLE), 9) AS p,
+            round(sum(cnt) OVER (PARTITION BY src) / CAST(sum(cnt) OVER () AS DOUBLE), 9) AS share FROM edges""",
         "node_distribution": _with(RATINGS, PAIRS)
         + "SELECT src AS node, round(sum(cnt) / (SELECT CAST(sum(cnt) AS DOUBLE) FROM edges), 9) AS share FROM edges GROUP BY src",
         "user_distribution": _with(RATINGS) + """SELECT "userId", round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM ratings

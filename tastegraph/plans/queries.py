@@ -26,9 +26,10 @@ MIN_COS = 0.2
 SEED = 42
 
 
-def query(fn_: Query) -> Query:
-    REGISTRY[fn_.__name__] = fn_
-    return fn_
+def query(function: Query) -> Query:
+    """Register under the function's name; a trailing underscore keeps it apart from an imported one."""
+    REGISTRY[function.__name__.rstrip("_")] = function
+    return function
 
 
 def _run_path(spark: SparkSession, name: str) -> str:
@@ -61,7 +62,7 @@ def fer_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def read_ratings_csv(spark, folder):
+def read_ratings_(spark, folder):
     """Ratings written as CSV with header and read back with the fixed schema."""
     path = _run_path(spark, "ratings-csv")
     write_samples(tables.ratings(spark, folder), path)
@@ -69,14 +70,14 @@ def read_ratings_csv(spark, folder):
 
 
 @query
-def read_movies_csv(spark, folder):
+def read_movies_(spark, folder):
     path = _run_path(spark, "movies-csv")
     write_samples(tables.movies(spark, folder), path)
     return read_movies(spark, path)
 
 
 @query
-def read_samples_csv(spark, folder):
+def read_samples_(spark, folder):
     """The sample table through CSV; gaps come back as defaults."""
     path = _run_path(spark, "samples-csv")
     write_samples(fer_table(spark, folder), path)
@@ -84,12 +85,12 @@ def read_samples_csv(spark, folder):
 
 
 @query
-def user_item_records(spark, folder):
+def read_user_item_records(spark, folder):
     return tables.user_item_records(spark, folder)
 
 
 @query
-def write_samples_parquet(spark, folder):
+def write_samples_(spark, folder):
     """Rows per label in a written and reread sample table."""
     path = _run_path(spark, "samples-out")
     write_samples(fer_table(spark, folder), path, "parquet")
@@ -97,7 +98,7 @@ def write_samples_parquet(spark, folder):
 
 
 @query
-def write_embeddings_text(spark, folder):
+def write_embeddings_(spark, folder):
     """Embedding lines as written to text."""
     path = _run_path(spark, "embeddings-text")
     whole = tables.table(spark, folder, "embeddings").select(
@@ -123,8 +124,8 @@ def fer_samples_short_history(spark, folder):
 
 @query
 def fer_samples_split_keys(spark, folder):
-    """The sample table with every key of more than 25 ratings treated as a hot one."""
-    return samples.rating_samples(tables.ratings(spark, folder), tables.movies(spark, folder), hot_rows=25)
+    """History of 20, with every key of more than 25 ratings treated as a hot one and cut into chunks."""
+    return samples.rating_samples(tables.ratings(spark, folder), tables.movies(spark, folder), history=20, hot_rows=25)
 
 
 @query
@@ -189,6 +190,15 @@ def split_genres(spark, folder):
     return tables.movies(spark, folder).select("movieId", *fn.first_genres(F.col("genres")))
 
 
+@query
+def min_history_filter(spark, folder):
+    """Samples per number of earlier ratings, from 10 on."""
+    labelled = samples.add_label(tables.ratings(spark, folder))
+    joined = samples.attach_movie_features(labelled, tables.movies(spark, folder))
+    kept = samples.user_rolling_features(joined, min_history=10)
+    return kept.groupBy("userRatingCount").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def user_timeline(spark, folder):
     """Timeline of the user with the smallest id."""
@@ -248,6 +258,22 @@ def cooccurring_pairs(spark, folder):
     return item_cf.pair_product_sums(tables.ratings(spark, folder), MIN_COS).select("movieIdHead", "movieIdTail", "product")
 
 
+@query
+def pair_product_sum(spark, folder):
+    """Product sums next to their cosine."""
+    pairs = item_cf.pair_product_sums(tables.ratings(spark, folder), MIN_COS)
+    return pairs.withColumn("cos", fn.rounded(F.col("cos"), 6))
+
+
+@query
+def cosine(spark, folder):
+    """The cosine formula on each movie's squared norm and the largest one."""
+    norms = item_cf.item_norms(tables.ratings(spark, folder))
+    largest = norms.agg(F.max("itemNorm")).scalar()
+    value = fn.cosine(F.col("itemNorm"), F.col("itemNorm"), largest)
+    return norms.select("movieId", fn.rounded(value, 6).alias("cos"))
+
+
 @query
 def item_norms(spark, folder):
     return item_cf.item_norms(tables.ratings(spark, folder))
@@ -262,7 +288,7 @@ def attach_norms(spark, folder):
 
 
 @query
-def min_similarity(spark, folder):
+def min_similarity_filter(spark, folder):
     """Cosine from product sums and norms, kept from the threshold on."""
     rated = tables.ratings(spark, folder)
     cosines = item_cf.item_cosines(item_cf.pair_product_sums(rated, MIN_COS), item_cf.item_norms(rated), MIN_COS)
@@ -284,7 +310,7 @@ def similar_items_heavy(spark, folder):
 
 
 @query
-def item_cf_lists(spark, folder):
+def item_cf_(spark, folder):
     """Similar-item lists of the training split, as text."""
     train, _ = split.random_split(tables.ratings(spark, folder), ["userId", "movieId"], 0.8, SEED)
     lists = item_cf.item_cf(train, MIN_COS)
@@ -317,6 +343,15 @@ def transition_probabilities(spark, folder):
     return edges.withColumn("p", F.round("p", 9))
 
 
+@query
+def item_graph(spark, folder):
+    """Transition table of the item graph with the share of each source."""
+    rated = tables.ratings(spark, folder)
+    shares = graph.node_distribution(graph.edge_counts(graph.consecutive_pairs(rated)))
+    joined = graph.item_graph(rated).join(shares, F.col("src") == F.col("node")).drop("node")
+    return joined.withColumns({"p": F.round("p", 9), "share": F.round("share", 9)})
+
+
 @query
 def node_distribution(spark, folder):
     shares = graph.node_distribution(graph.edge_counts(graph.consecutive_pairs(tables.ratings(spark, folder))))
@@ -484,6 +519,14 @@ def item2vec(spark, folder):
     return embeddings.embedding_table(embeddings.item2vec(tables.ratings(spark, folder)))
 
 
+@query
+def embedding_table(spark, folder):
+    """Length and squared norm of the item2vec vectors."""
+    table = embeddings.embedding_table(embeddings.item2vec(tables.ratings(spark, folder)))
+    square = F.aggregate("vector", F.lit(0.0), lambda total, v: total + v * v)
+    return table.select("id", F.size("vector").alias("length"), square.alias("square"))
+
+
 @query
 def item2vec_synonyms(spark, folder):
     """Nearest movies of movie 158 in the item2vec space."""
@@ -537,6 +580,14 @@ def _als(spark, folder):
     return _shared(spark, folder, "als", make)
 
 
+@query
+def als_fit(spark, folder):
+    """Rank and table sizes of a fitted model."""
+    model = _als(spark, folder)[0]
+    counts = factors.als_factors(model).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("rank", F.lit(model.rank))
+
+
 @query
 def als_factors(spark, folder):
     return factors.als_factors(_als(spark, folder)[0])
@@ -645,6 +696,12 @@ def ctr_fm_full(spark, folder):
     return _fit_and_score(rankers.ctr_fm_full, _ranker_sets(spark, folder))
 
 
+@query
+def score_batch(spark, folder):
+    """Scored test rows per predicted and actual label."""
+    return ctr_logistic(spark, folder).groupBy("predicted", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def ctr_logistic_metrics(spark, folder):
     """Metrics of the fitted logistic ranker on the test split."""
