@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import bpe
+from tastegraph.llm import bpe, html, mixing, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,21 @@ def byte_vocabulary() -> bpe.Vocabulary:
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each whole text, and the text that they decode to, as digests."""
     return bpe.digests(read_table(spark, folder, "documents"), byte_vocabulary())
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as records of seekable bundles and read back."""
+    return warc.archived(read_table(spark, folder, "pages"), revisit_min_bytes=0)
+
+
+@query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(read_table(spark, folder, "pages"))
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of 150 % of all words takes of each document."""
+    return mixing.mix(read_table(spark, folder, "documents"))
