@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import bpe, html, mixing, warc
+from tastegraph.llm import bpe, html, jaccard, langid, mixing, secrets, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,22 @@ def op7_html(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of 150 % of all words takes of each document."""
     return mixing.mix(read_table(spark, folder, "documents"))
+
+
+@query
+def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every whole text, learned from the rows that are not held out."""
+    return langid.predicted(read_table(spark, folder, "documents"))
+
+
+@query
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every whole text: base patterns and what the field adds."""
+    return secrets.scanned(read_table(spark, folder, "documents"))
+
+
+@query
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 3-word shingles overlap by 90 per cent."""
+    found = jaccard.classes(read_table(spark, folder, "documents"), n=3, per_cent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
