@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe, html, jaccard, langid, mixing, secrets, warc
+from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, secrets, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,13 @@ def byte_vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op1_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    """For every twentieth vector the 20 best others by integer inner product."""
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", maxscore.scaled(F.col("embedding"), 64.0).alias("vector"))
+    return maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 @query
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each whole text, and the text that they decode to, as digests."""
