@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, secrets, warc
+from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, neighbours, secrets, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,12 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scanned(read_table(spark, folder, "documents"))
 
 
+@query
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.95, and their components."""
+    return neighbours.linked(read_table(spark, folder, "embeddings"), 0.95)
+
+
 @query
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingles overlap by 90 per cent."""
