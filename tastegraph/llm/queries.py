@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, neighbours, secrets, warc
+from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, neighbours, secrets, suffixes, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(read_table(spark, folder, "pages"), revisit_min_bytes=0)
 
 
+@query
+def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without the bytes that 400-byte strings cover which start anywhere else."""
+    return suffixes.without_repeats(read_table(spark, folder, "documents"), 400, first_stays=False)
+
+
 @query
 def op7_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
