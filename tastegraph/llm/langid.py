@@ -152,9 +152,9 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
 
 
 def predict(model: Model, text: str | None) -> tuple[str, float, bool]:
-    """(language, probability, rejected)."""
+    """(language, probability, rejected); a model that knows no language rejects only what has no letter."""
     if not has_letter(text) or not model.languages:
-        return UNKNOWN, 0.0, True
+        return UNKNOWN, 0.0, not has_letter(text)
     p = softmax(logits(model, text) / model.temperature)
     best = int(p.argmax())
     return model.languages[best], float(p[best]), bool(p[best] < model.threshold)

@@ -2,6 +2,73 @@
 
 from __future__ import annotations
 
+#: The base32 alphabet.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+USABLE = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+OP1 = f"""
+WITH v AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings WHERE {USABLE} AND vec_id IS NOT NULL),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.c, d.c) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def _base32(hexed: str) -> str:
+    """Five hexadecimal digits are four letters."""
+    def letter(part: int, shift: int) -> str:
+        number = f"CAST('0x' || substr({hexed}, {5 * part + 1}, 5) AS INTEGER)"
+        return f"substr('{BASE32}', (({number} >> {shift}) & 31) + 1, 1)"
+
+    return " || ".join(letter(part, shift) for part in range(8) for shift in (15, 10, 5, 0))
+
+
+OP5 = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, {_base32("p.h")} AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p JOIN f ON p.h = f.h
+"""
+
+REACHED = """
+reached AS (SELECT id AS id, id AS other FROM nodes UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+"""
+
+OP8 = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS c FROM embeddings
+  WHERE {USABLE} AND vec_id IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.c, y.c) >= 0.95),
+{REACHED}
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.id = e.vec_id
+"""
+
+OP9 = rf"""
+WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(ws[k:k + 2], ' ')) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS k FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * common >= 90 * (m.n + o.n - common)),
+{REACHED}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, l.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN least l ON l.id = d.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_maxscore": OP1, "op5_warc": OP5, "op8_neighbours": OP8, "op9_jaccard": OP9}
