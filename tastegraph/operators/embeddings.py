@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Word2Vec, Word2VecModel
@@ -12,10 +10,11 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.operators.graph import user_sequences
+from tastegraph.operators.graph import SEQUENCE_ROWS, user_sequences
 from tastegraph.operators.walks import random_walks, rating_metapath_walks
 
-MAX_QUERIES = 1024
+# Items and queries that meet in one task, about.
+SHARD_ROWS, BLOCK_ROWS = 50_000, 1_000
 
 
 def fit_word2vec(
@@ -41,8 +40,12 @@ def fit_word2vec(
         tokens.unpersist()
 
 
-def item2vec(ratings: DataFrame, min_rating: float = 3.5, **options) -> Word2VecModel:
-    return fit_word2vec(user_sequences(ratings, min_rating), "movieIds", **options)
+def item2vec(
+    ratings: DataFrame, min_rating: float = 3.5, window: int = 5, part_rows: int = SEQUENCE_ROWS, **options
+) -> Word2VecModel:
+    """Parts of a long history overlap by the window, so every pair within it is trained on."""
+    sequences = user_sequences(ratings, min_rating, part_rows, overlap=window)
+    return fit_word2vec(sequences, "movieIds", window=window, **options)
 
 
 def deepwalk_embeddings(ratings: DataFrame, walks: int = 20_000, length: int = 10, seed: int = 42, **options) -> Word2VecModel:
@@ -59,41 +62,42 @@ def embedding_table(model: Word2VecModel) -> DataFrame:
     return model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector", "float32").alias("vector"))
 
 
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
+    rows = np.stack(vectors.to_numpy()).astype("float64")
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+
+
 def nearest_by_cosine(
-    items: DataFrame, queries: DataFrame, k: int = 20, item: str = "id", vector: str = "vector"
+    items: DataFrame, queries: DataFrame, k: int = 20, item: str = "id", vector: str = "vector",
+    shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The ``k`` items closest to each query vector, other than itself: (query, id, cos, rank).
 
-    ``queries`` has the columns of ``items`` and at most ``MAX_QUERIES`` rows; they travel with the tasks.
-    Each Arrow batch of items is scored as one matrix product and passes on only its best ``k`` per query;
-    the best of those are picked per query afterwards.
+    ``queries`` has the columns of ``items`` and any number of rows. Items fall into shards and queries into blocks by
+    a hash of their id; every task scores one shard against one block as one matrix product and passes on only the best
+    ``k`` per query, of which the best are picked afterwards. Sizes change the work, not the result.
     """
-    rows = queries.select(item, vector).limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries")
     kind = dict(items.dtypes)[item]
-    spark = items.sparkSession
-    if not rows:
-        return spark.createDataFrame([], f"query {kind}, id {kind}, cos double, rank int")
-    names = [row[0] for row in rows]
-    matrix = np.array([row[1] for row in rows], dtype="float64")
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-
-    def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            ids = batch[item].to_numpy()
-            vectors = np.stack(batch[vector].to_numpy()).astype("float64")
-            vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-            scores = matrix @ vectors.T
-            for query, row in zip(names, scores):
+    shards = -(-items.count() // shard_rows) or 1
+    blocks = -(-queries.count() // block_rows) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    number = lambda n: F.pmod(F.xxhash64(item), F.lit(n)).cast("int")
+    held = items.select(item, vector, number(shards).alias("_shard"), every(blocks).alias("_block"))
+    asked = queries.select(F.col(item).alias("query"), F.col(vector).alias("_asked"), number(blocks).alias("_block"), every(shards).alias("_shard"))
+
+    def best_of_shard(own: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(own) and len(wanted):
+            ids = own[item].to_numpy()
+            for query, row in zip(wanted["query"], _unit_rows(wanted["_asked"]) @ _unit_rows(own[vector]).T):
                 others = ids != query
-                found, cos = ids[others], row[others]
-                order = np.lexsort((found, -cos))[:k]
-                yield pd.DataFrame({"query": query, "id": found[order], "cos": cos[order]})
+                near, cos = ids[others], row[others]
+                order = np.lexsort((near, -cos))[:k]
+                found.append(pd.DataFrame({"query": query, "id": near[order], "cos": cos[order]}))
+        return pd.concat(found) if found else pd.DataFrame({"query": [], "id": [], "cos": []})
 
-    scored = items.select(item, vector).mapInPandas(best_of_batch, f"query {kind}, id {kind}, cos double")
+    scored = held.groupBy("_shard", "_block").cogroup(asked.groupBy("_shard", "_block")).applyInPandas(
+        best_of_shard, f"query {kind}, id {kind}, cos double")
     best = Window.partitionBy("query").orderBy(F.desc("cos"), "id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 

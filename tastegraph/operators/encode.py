@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizerModel, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, QuantileDiscretizer, VectorAssembler
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,6 @@ NUMERIC_FEATURES = [
     "releaseYear", "movieRatingCount", "movieAvgRating", "movieRatingStddev",
     "userRatingCount", "userAvgRating", "userRatingStddev",
 ]
-MAX_VECTOR_TERMS = 1 << 18
 
 
 def one_hot_ids(df: DataFrame, column: str = "movieId") -> DataFrame:
@@ -57,13 +57,12 @@ def multi_hot_genres(movies: DataFrame) -> DataFrame:
 
 
 def multi_hot_vectors(movies: DataFrame) -> DataFrame:
-    """``multi_hot_genres`` as sparse 0/1 vectors, for vocabularies that fit a vector."""
-    codes = string_index(explode_genres(movies), "genre").orderBy("code").limit(MAX_VECTOR_TERMS + 1)
-    terms = [row.value for row in codes.collect()]
-    if len(terms) > MAX_VECTOR_TERMS:
-        raise ValueError(f"more than {MAX_VECTOR_TERMS} genres: use multi_hot_genres")
-    model = CountVectorizerModel.from_vocabulary(terms, inputCol="_genres", outputCol="vector")
-    return model.setBinary(True).transform(movies.withColumn("_genres", F.split("genres", r"\|"))).drop("_genres")
+    """Movies with their ``multi_hot_genres`` as a sparse 0/1 vector; the vocabulary stays distributed."""
+    sparse = F.udf(lambda indexes, size: Vectors.sparse(size, indexes or [], [1.0] * len(indexes or [])), VectorUDT())
+    codes = multi_hot_genres(movies)
+    size = codes.agg(F.max("indexSize")).scalar()
+    known = codes.select("movieId", "genreIndexes")
+    return movies.join(known, "movieId", "left").withColumn("vector", sparse("genreIndexes", F.coalesce(size, F.lit(0)))).drop("genreIndexes")
 
 
 def quantile_bucket(df: DataFrame, column: str, output: str, buckets: int = 100) -> DataFrame:

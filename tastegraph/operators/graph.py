@@ -13,19 +13,22 @@ SEQUENCE_ROWS = 100_000
 
 
 def user_sequences(
-    ratings: DataFrame, min_rating: float = 3.5, part_rows: int = SEQUENCE_ROWS
+    ratings: DataFrame, min_rating: float = 3.5, part_rows: int = SEQUENCE_ROWS, overlap: int = 0
 ) -> DataFrame:
-    """Movies a user liked, in time order: (userId, part, movieIds).
+    """Movies a user liked, in time order: (userId, part, movieIds), one row per ``part_rows`` movies.
 
-    Histories longer than ``part_rows`` continue in further rows (``part`` 1, 2, ...).
+    A history of up to ``part_rows`` movies is part 0; longer ones continue in parts 1, 2, ... With ``overlap`` a part
+    begins with as many movies of the part before, so that neighbours across a border are still seen together.
     """
     liked = positive_ratings(ratings, min_rating).select("userId", "movieId", "timestamp")
-    rows, groups = in_chunks(liked, "userId", USER_ORDER, 0, part_rows, part_rows)
-    part = F.col("_chunk") if len(groups) > 1 else F.lit(0).cast("bigint")
+    rows, groups = in_chunks(liked, "userId", USER_ORDER, overlap, part_rows, part_rows)
+    if len(groups) == 1:
+        rows = rows.withColumns({"_chunk": F.lit(0).cast("bigint"), "_lead": F.lit(False)})
     ordered = F.sort_array(F.collect_list(F.struct("timestamp", "movieId")))
     return (
-        rows.groupBy(*groups).agg(ordered["movieId"].alias("movieIds"))
-        .select("userId", part.alias("part"), "movieIds")
+        rows.groupBy("userId", F.col("_chunk").alias("part"))
+        .agg(ordered["movieId"].alias("movieIds"), F.bool_and("_lead").alias("_only_lead"))
+        .filter(~F.col("_only_lead")).select("userId", "part", "movieIds")
     )
 
 

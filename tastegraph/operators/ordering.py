@@ -141,19 +141,26 @@ def over_history(
 
 
 def add_past_stats(rows: DataFrame, window: WindowSpec, history: int, values: dict[str, str]) -> DataFrame:
-    """Count, mean and sample deviation of each value over the ``history`` rows before the current one.
+    """Count of rows, mean and sample deviation of each value over the ``history`` rows before the current one.
 
     ``values`` maps a prefix to a column; the results are ``<prefix>Count``, ``<prefix>Mean`` and
-    ``<prefix>Stddev``. A sliding frame would add up to ``history`` rows again for every row; here each
-    row costs one step of a running sum, and the frame is the difference of two of its earlier values.
+    ``<prefix>Stddev``. The count is of rows, whatever their values; mean and deviation are of the values that are
+    not NULL. A frame that holds NaN or an infinite value has neither; later frames are not touched by it.
+
+    A sliding frame would add up to ``history`` rows again for every row; here each row costs one step of a
+    running sum, and the frame is the difference of two of its earlier values. The sums are of finite values only.
     """
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = {}
     for prefix, column in values.items():
         value = F.col(column).cast("double")
-        sums[f"{prefix}Count"] = F.count(value)
-        sums[f"{prefix}Sum"] = F.sum(value)
-        sums[f"{prefix}Squares"] = F.sum(value * value)
+        finite = F.abs(value) < float("inf")
+        kept = F.when(finite & ~F.isnan(value), value)
+        sums[f"{prefix}Count"] = F.count(F.lit(1))
+        sums[f"{prefix}Known"] = F.count(value)
+        sums[f"{prefix}Finite"] = F.count(kept)
+        sums[f"{prefix}Sum"] = F.sum(kept)
+        sums[f"{prefix}Squares"] = F.sum(kept * kept)
     rows = rows.withColumns({name: total.over(running) for name, total in sums.items()})
     rows = rows.withColumns({
         name: F.coalesce(F.lag(name, 1).over(window), F.lit(0))
@@ -162,8 +169,8 @@ def add_past_stats(rows: DataFrame, window: WindowSpec, history: int, values: di
     })
     results = {}
     for prefix in values:
-        n, total, squares = (F.col(f"{prefix}{part}") for part in ("Count", "Sum", "Squares"))
-        results[f"{prefix}Mean"] = F.when(n > 0, total / n)
+        n, known, total, squares = (F.col(f"{prefix}{part}") for part in ("Finite", "Known", "Sum", "Squares"))
+        results[f"{prefix}Mean"] = F.when((n > 0) & (n == known), total / n)
         spread = F.greatest(squares - total * total / n, F.lit(0.0))
-        results[f"{prefix}Stddev"] = F.when(n > 1, F.sqrt(spread / (n - 1)))
-    return rows.withColumns(results).drop(*[f"{p}{part}" for p in values for part in ("Sum", "Squares")])
+        results[f"{prefix}Stddev"] = F.when((n > 1) & (n == known), F.sqrt(spread / (n - 1)))
+    return rows.withColumns(results).drop(*[f"{p}{part}" for p in values for part in ("Known", "Finite", "Sum", "Squares")])

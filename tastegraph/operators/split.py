@@ -64,11 +64,11 @@ def time_split(
 def seeded_shuffle_split(
     df: DataFrame, keys: list[str], train: int = 80_000, test: int = 20_000, seed: int = 42
 ) -> DataFrame:
-    """Shuffle by a seeded hash, give the first ``train`` rows and the next ``test`` rows a ``split``."""
+    """Shuffle by a seeded hash: ``split`` is train for the first ``train`` rows, test for the next ``test``, then rest.
+
+    ``train`` and ``test`` bound what a model is fitted on and judged by; every row is returned.
+    """
     shuffled = df.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), *keys)))
     placed = running_total(shuffled, {"place": F.lit(1)}, ["_hash", *keys])
-    return (
-        placed.filter(F.col("place") < train + test)
-        .withColumn("split", F.when(F.col("place") < train, "train").otherwise("test"))
-        .drop("_hash")
-    )
+    split = F.when(F.col("place") < train, "train").when(F.col("place") < train + test, "test").otherwise("rest")
+    return placed.withColumn("split", split).drop("_hash")

@@ -30,6 +30,12 @@ METAPATHS = [
 ]
 
 
+# So many walkers, of at most one node per step, are sent to the edges; more are shuffled to them.
+SENT_WALKERS = 200_000
+# Rows that finished walks meet.
+END_ROWS = 64
+
+
 def _by_letter(letter: Column, values: dict[str, Column]) -> Column:
     return reduce(lambda chain, kv: chain.when(letter == kv[0], kv[1]), values.items(), F)
 
@@ -57,8 +63,7 @@ def _copies(came: Column, offered: Column, hot_rows: int) -> Column:
 def numbered_edges(edges: DataFrame, nodes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Edges numbered within (src, dst_type), each with the sizes of its target.
 
-    Written once, partitioned and sorted by (src, slot): a step brings the walkers to the edges and neither
-    shuffles nor sorts the edges again.
+    Written once as Parquet: a step reads only the columns it needs.
     """
     numbered = positions(edges, ["src", "dst_type"], ["dst", "tie"], "pos", hot_rows)
     code = _by_letter(F.col("dst_type"), {name: F.lit(code) for name, code in TYPE_CODES.items()})
@@ -78,7 +83,7 @@ def numbered_edges(edges: DataFrame, nodes: DataFrame, hot_rows: int = HOT_ROWS)
         numbered.join(nodes.withColumnRenamed("node", "dst"), "dst")
         .withColumn("slot", (F.col("pos") * F.col("copies") + F.col("copy")) * len(TYPE_CODES) + code)
         .select("src", "slot", "src_type", "dst_type", "pos", "copy", "dst", *SIZES, "came")
-        .repartition(parts, "src", "slot").sortWithinPartitions("src", "slot")
+        .repartition(parts, "src", "slot")
     )
 
 
@@ -143,10 +148,16 @@ def metapath_walks(
         walkers.join(start_nodes(numbered, nodes), ["start_type", "place"])
         .select("path_id", "path", "walk", F.array("node").alias("nodes"), "node", *carried)
     )
+    sent = (lambda df: F.broadcast(df)) if sum(count for _, count in paths) <= SENT_WALKERS else (lambda df: df)
     step_edges = numbered.select(
         F.col("src").alias("_src"), F.col("slot").alias("_slot"), F.col("dst").alias("_dst"),
         *[F.col(c).alias(f"_{c}") for c in carried],
     )
+    # finished walks meet one of these rows, by their number, and stay as they are
+    ends = spark.range(END_ROWS).select(
+        F.lit("").alias("_src"), (-1 - F.col("id")).alias("_slot"), F.lit(None).cast("string").alias("_dst"),
+        *[F.lit(0).cast(numbered.schema[c].dataType).alias(f"_{c}") for c in carried])
+    step_edges = step_edges.unionByName(ends)
     for step in range(1, max(len(path) for path, _ in paths)):
         letter = F.substring("path", step + 1, 1)
         offered = F.nullif(_by_letter(letter, {k: F.col(f"to_{v}") for k, v in NODE_TYPES.items()}), F.lit(0))
@@ -154,11 +165,9 @@ def metapath_walks(
         number = F.pmod(draw(str(seed), F.col("path_id"), F.col("walk"), step), offered)
         copies = _copies(F.col("came"), offered, hot_rows)
         slot = (number * copies + F.pmod(F.col("walk"), copies)) * len(TYPE_CODES) + code
-        # finished walks match nothing; their own number keeps them spread over the partitions
-        slot = F.coalesce(slot, -1 - F.col("walk"))
-        moved = walkers.withColumn("_next", slot).join(
-            step_edges, (F.col("node") == F.col("_src")) & (F.col("_next") == F.col("_slot")), "left"
-        )
+        at = F.when(slot.isNotNull(), F.col("node")).otherwise(F.lit(""))
+        waiting = walkers.withColumns({"_at": at, "_next": F.coalesce(slot, -1 - F.pmod("walk", F.lit(END_ROWS)))})
+        moved = step_edges.join(sent(waiting), (F.col("_at") == F.col("_src")) & (F.col("_next") == F.col("_slot")))
         walkers = moved.select(
             "path_id", "path", "walk",
             F.when(F.col("_dst").isNotNull(), F.array_append("nodes", F.col("_dst"))).otherwise(F.col("nodes")).alias("nodes"),

@@ -42,8 +42,8 @@ def _r(x: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
 
 
-def _with(*ctes: str) -> str:
-    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+def _with(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
 def _movie_rolling(history: int) -> str:
@@ -56,31 +56,40 @@ def _movie_rolling(history: int) -> str:
   WINDOW w AS (PARTITION BY "movieId" ORDER BY timestamp, "userId" ROWS BETWEEN {history} PRECEDING AND 1 PRECEDING))"""
 
 
+def _pivot(source: str, value: str, name: str) -> str:
+    """The first five values of each row's list as columns."""
+    columns = ", ".join(f"""max(CASE WHEN place = {i} THEN {value} END) AS "{name}{i}" """ for i in range(1, 6))
+    return f"""(SELECT "userId", k, {columns} FROM {source} WHERE place <= 5 GROUP BY "userId", k)"""
+
+
 def _user_rolling(source: str, history: int, extra: str) -> str:
-    return f"""joined AS (
-  SELECT s.*, "releaseYear", gl[1] AS "movieGenre1", gl[2] AS "movieGenre2", gl[3] AS "movieGenre3", gl
+    listed = lambda name: ", ".join(f'"{name}{i}"' for i in range(1, 6))
+    return f"""joined AS MATERIALIZED (
+  SELECT s.*, "releaseYear", gl[1] AS "movieGenre1", gl[2] AS "movieGenre2", gl[3] AS "movieGenre3", gl,
+         row_number() OVER (PARTITION BY "userId" ORDER BY timestamp, "movieId") AS k
   FROM {source} s LEFT JOIN profile USING ("movieId")),
-seen AS (
-  SELECT *, list_reverse(list("movieId") FILTER (WHERE label = 1) OVER w) AS h,
-         flatten(list(gl) FILTER (WHERE label = 1) OVER w) AS fl,
+seen AS MATERIALIZED (
+  SELECT * EXCLUDE (gl),
          count(*) OVER w AS "userRatingCount",
          CAST(floor(avg("releaseYear") OVER w) AS INT) AS "userAvgReleaseYear",
          {_r('stddev_samp("releaseYear") OVER w')} AS "userReleaseYearStddev",
          {_r('avg(rating) OVER w')} AS "userAvgRating",
          {_r('stddev_samp(rating) OVER w')} AS "userRatingStddev"
   FROM joined
-  WINDOW w AS (PARTITION BY "userId" ORDER BY timestamp, "movieId" ROWS BETWEEN {history} PRECEDING AND 1 PRECEDING)),
-each AS (SELECT "userId", "movieId", unnest(fl) AS g, generate_subscripts(fl, 1) AS i FROM seen),
-counted AS (SELECT "userId", "movieId", g, count(*) AS n, min(i) AS f FROM each GROUP BY ALL),
-ranked AS (SELECT "userId", "movieId", list(g ORDER BY n DESC, f) AS gs FROM counted GROUP BY ALL),
+  WINDOW w AS (PARTITION BY "userId" ORDER BY k ROWS BETWEEN {history} PRECEDING AND 1 PRECEDING)),
+liked AS MATERIALIZED (
+  SELECT s."userId", s.k, l.k AS seat, l."movieId" AS m, l.gl FROM joined s
+  JOIN joined l ON l."userId" = s."userId" AND l.k BETWEEN s.k - {history} AND s.k - 1 WHERE l.label = 1),
+last_liked AS (SELECT "userId", k, m, row_number() OVER (PARTITION BY "userId", k ORDER BY seat DESC) AS place FROM liked),
+tagged AS (SELECT "userId", k, seat * 10 + i AS seat, gl[i] AS g FROM liked, (VALUES (1), (2), (3)) AS t(i) WHERE gl[i] IS NOT NULL),
+counted AS (SELECT "userId", k, g, count(*) AS n, min(seat) AS f FROM tagged GROUP BY "userId", k, g),
+favoured AS (SELECT "userId", k, g, row_number() OVER (PARTITION BY "userId", k ORDER BY n DESC, f) AS place FROM counted),
 fer AS (
   SELECT seen."movieId", seen."userId", rating, timestamp, label, {extra}
-         "releaseYear", "movieGenre1", "movieGenre2", "movieGenre3",
-         h[1] AS "userRatedMovie1", h[2] AS "userRatedMovie2", h[3] AS "userRatedMovie3",
-         h[4] AS "userRatedMovie4", h[5] AS "userRatedMovie5",
-         "userRatingCount", "userAvgReleaseYear", "userReleaseYearStddev", "userAvgRating", "userRatingStddev",
-         gs[1] AS "userGenre1", gs[2] AS "userGenre2", gs[3] AS "userGenre3", gs[4] AS "userGenre4", gs[5] AS "userGenre5"
-  FROM seen LEFT JOIN ranked USING ("userId", "movieId") WHERE "userRatingCount" > 1)"""
+         "releaseYear", "movieGenre1", "movieGenre2", "movieGenre3", {listed('userRatedMovie')},
+         "userRatingCount", "userAvgReleaseYear", "userReleaseYearStddev", "userAvgRating", "userRatingStddev", {listed('userGenre')}
+  FROM seen LEFT JOIN {_pivot('last_liked', 'm', 'userRatedMovie')} USING ("userId", k)
+  LEFT JOIN {_pivot('favoured', 'g', 'userGenre')} USING ("userId", k) WHERE "userRatingCount" > 1)"""
 
 
 def _fer(history: int = 100) -> tuple[str, ...]:
@@ -166,8 +175,8 @@ walked AS (
   WHERE w.step + 1 < length(w.path))"""
 
 
-_item_walks = _with(RATINGS, PAIRS, TYPED, _walks("item_rows", [("i" * 10, 20_000)]))
-_meta_walks = _with(RATINGS, MOVIES, PAIRS, TYPED, META, _walks("graph_rows", METAPATHS))
+_item_walks = _with(RATINGS, PAIRS, TYPED, _walks("item_rows", [("i" * 10, 20_000)]), recursive=True)
+_meta_walks = _with(RATINGS, MOVIES, PAIRS, TYPED, META, _walks("graph_rows", METAPATHS), recursive=True)
 
 GENRE_CODES = """genre_rows AS (SELECT "movieId", unnest(string_split(genres, '|')) AS genre FROM movies),
 codes AS (
@@ -207,8 +216,22 @@ def oracle_sql() -> dict[str, str]:
         + ") FROM fer",
         "read_user_item_records": _with(RATINGS, RECORDS) + "SELECT * FROM records",
         "write_samples": _with(*_fer()) + "SELECT label, count(*) AS n FROM fer GROUP BY label",
-        "write_embeddings": """SELECT vec_id || ':' || array_to_string(
-            list_transform(embedding, lambda v: CAST(floor(CAST(v AS DOUBLE) * 1000) AS INT)), ' ') AS line FROM embeddings""",
+        "write_embeddings": """SELECT vec_id || ':' || array_to_string([
+            CAST(floor(CAST(v AS DOUBLE) * 1024) / 1024 + 2 AS VARCHAR) FOR v IN embedding], ' ') AS line FROM embeddings""",
+        "multi_hot_vectors": _with(MOVIES, GENRE_CODES) + """SELECT "movieId", [
+            CASE WHEN list_contains(own, k) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR k IN range((SELECT count(*) FROM codes))] AS vector
+            FROM (SELECT "movieId", list(code) AS own FROM genre_rows JOIN codes ON genre = value GROUP BY "movieId")""",
+        **{name: _with(
+            RATINGS.replace("ratings AS", "all_ratings AS", 1), MOVIES, PROFILE,
+            """ratings AS (SELECT "userId", "movieId", timestamp,
+              CASE WHEN ("userId" * 31 + "movieId") % 17 <> 0 THEN rating END AS rating FROM all_ratings)""",
+            _movie_rolling(20), _user_rolling("movie_rolling", 20, '"movieRatingCount", "movieAvgRating", "movieRatingStddev",'),
+        ) + """SELECT "userId", "movieId", "movieRatingCount", "movieAvgRating", "movieRatingStddev", "userRatingCount",
+            "userAvgRating", "userRatingStddev" FROM fer""" for name in ("rolling_features_with_gaps", "rolling_features_with_gaps_split_keys")},
+        "export_train_test": _with(*_fer(), f"tenth AS (SELECT * FROM fer WHERE {key} < 0.1)") + """SELECT "userId", "movieId", label, timestamp,
+            "userRatingCount", CASE WHEN timestamp <= (SELECT min(timestamp) FROM (
+              SELECT timestamp, sum(count(*)) OVER (ORDER BY timestamp) AS upto FROM tenth GROUP BY timestamp)
+              WHERE upto >= (SELECT ceil(0.8 * count(*)) FROM tenth)) THEN 'train' ELSE 'test' END AS split FROM tenth""",
         "fer_samples": _with(*_fer()) + "SELECT * FROM fer",
         "fer_samples_short_history": _with(*_fer(20)) + "SELECT * FROM fer",
         "fer_samples_split_keys": _with(*_fer(20)) + "SELECT * FROM fer",
@@ -252,9 +275,9 @@ def oracle_sql() -> dict[str, str]:
         "time_split": _with(RATINGS) + """SELECT *, CASE WHEN timestamp <= (SELECT min(timestamp) FROM (
             SELECT timestamp, sum(count(*)) OVER (ORDER BY timestamp) AS upto FROM ratings GROUP BY timestamp)
             WHERE upto >= (SELECT ceil(0.8 * count(*)) FROM ratings)) THEN 'train' ELSE 'test' END AS split FROM ratings""",
-        "seeded_shuffle_split": _with(RATINGS) + """SELECT * REPLACE (CASE WHEN place < 40000 THEN 'train' ELSE 'test' END AS split)
+        "seeded_shuffle_split": _with(RATINGS) + """SELECT * REPLACE (CASE WHEN place < 40000 THEN 'train' WHEN place < 50000 THEN 'test' ELSE 'rest' END AS split)
             FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', "userId", "movieId"))) - 1 AS place, '' AS split
-            FROM ratings) WHERE place < 50000""",
+            FROM ratings)""",
         "cooccurring_pairs": _with(RATINGS, _cosines(0.2)) + 'SELECT "movieIdHead", "movieIdTail", product FROM cosines',
         "pair_product_sum": _with(RATINGS, _cosines(0.2))
         + f"""SELECT "movieIdHead", "movieIdTail", product, {_r('cos', 6)} AS cos FROM cosines""",

@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 MIN_COS = 0.2
+# Codes of each categorical field where all pairs of fields are crossed.
+CROSS_FIELD_BUCKETS = 32
 SEED = 42
 
 
@@ -102,7 +104,7 @@ def write_embeddings_(spark, folder):
     """Embedding lines as written to text."""
     path = _run_path(spark, "embeddings-text")
     whole = tables.table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("id"), F.transform("embedding", lambda v: F.floor(v.cast("double") * 1000).cast("int")).alias("vector")
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda v: F.floor(v.cast("double") * 1024) / 1024 + 2).alias("vector")
     )
     write_embeddings(whole, path, fmt="text")
     return spark.read.text(path).select(F.col("value").alias("line"))
@@ -116,6 +118,43 @@ def fer_samples(spark, folder):
     return samples.rating_samples(tables.ratings(spark, folder), tables.movies(spark, folder))
 
 
+def _with_gaps(spark, folder):
+    """The ratings, every 17th of them without a value."""
+    return tables.ratings(spark, folder).withColumn(
+        "rating", F.when((F.col("userId") * 31 + F.col("movieId")) % 17 == 0, F.lit(None)).otherwise(F.col("rating")))
+
+
+def _gap_features(spark, folder, **options):
+    labelled = samples.add_label(_with_gaps(spark, folder))
+    movie = samples.movie_rolling_features(labelled, 20, **options)
+    user = samples.user_rolling_features(samples.attach_movie_features(movie, tables.movies(spark, folder)), 20, **options)
+    return user.select("userId", "movieId", "movieRatingCount", "movieAvgRating", "movieRatingStddev", "userRatingCount", "userAvgRating", "userRatingStddev")
+
+
+@query
+def rolling_features_with_gaps(spark, folder):
+    """Earlier ratings count with or without a value; means and deviations are of the values."""
+    return _gap_features(spark, folder)
+
+
+@query
+def rolling_features_with_gaps_split_keys(spark, folder):
+    """The same with users and movies of more than 30 ratings cut into chunks."""
+    return _gap_features(spark, folder, hot_rows=30)
+
+
+@query
+def export_train_test(spark, folder):
+    """A tenth of the samples, cut at the 0.8 quantile of time, both sides written and read back."""
+    table = split.sample_fraction(fer_table(spark, folder), 0.1, ["userId", "movieId"], SEED)
+    read = []
+    for name, part in zip(("train", "test"), split.time_split(table, 0.8)):
+        path = _run_path(spark, f"export-{name}")
+        write_samples(part, path)
+        read.append(read_samples(spark, path).withColumn("split", F.lit(name)))
+    return read[0].unionByName(read[1]).select("userId", "movieId", "label", "timestamp", "userRatingCount", "split")
+
+
 @query
 def fer_samples_short_history(spark, folder):
     """The sample table with a history of 20, which most users exceed."""
@@ -291,7 +330,7 @@ def attach_norms(spark, folder):
 def min_similarity_filter(spark, folder):
     """Cosine from product sums and norms, kept from the threshold on."""
     rated = tables.ratings(spark, folder)
-    cosines = item_cf.item_cosines(item_cf.pair_product_sums(rated, MIN_COS), item_cf.item_norms(rated), MIN_COS)
+    cosines = item_cf.item_cosines(item_cf.pair_product_sums(rated, MIN_COS - 0.05), item_cf.item_norms(rated), MIN_COS)
     return cosines.withColumn("cos", fn.rounded(F.col("cos"), 6))
 
 
@@ -641,14 +680,16 @@ def recommend_for_item_subset(spark, folder):
 
 @query
 def als_cross_validate(spark, folder):
-    return factors.als_cross_validate(tables.ratings(spark, folder))
+    """Mean error over the folds of the training split."""
+    train, _ = split.random_split(tables.ratings(spark, folder), ["userId", "movieId"], 0.8, SEED)
+    return factors.als_cross_validate(train)
 
 
 # ---- rankers -----------------------------------------------------------------------------------
 
 
 def _ranker_sets(spark, folder):
-    """Training and test features by time, kept in the shared folder."""
+    """Training and test features by time, planned once."""
 
     def make():
         train, test = split.time_split(fer_table(spark, folder), 0.8)
@@ -724,10 +765,10 @@ def _record_sets(spark, folder, buckets):
 
 @query
 def rating_cross_regression(spark, folder):
-    """Test predictions with no, full and low-rank crosses."""
+    """Test predictions with no, full and low-rank crosses of equal features."""
     result = None
-    for crosses, buckets in (("none", 256), ("full", 32), ("low_rank", 256)):
-        train, test = _record_sets(spark, folder, buckets)
+    train, test = _record_sets(spark, folder, CROSS_FIELD_BUCKETS)
+    for crosses in ("none", "full", "low_rank"):
         scored = rankers.rating_cross_regression(train, crosses).transform(test).select(
             F.lit(crosses).alias("crosses"), "user_id", "movie_id", "label", "prediction"
         )
@@ -743,9 +784,9 @@ def pair_interaction_strength(spark, folder):
 
 @query
 def repeated_runs(spark, folder):
-    """Mean and deviation of the test RMSE over seeds."""
-    train, test = _record_sets(spark, folder, 64)
-    runs = rankers.repeated_runs(train, test, ["none", "low_rank"], 3)
+    """Mean and deviation of the test RMSE over five seeds."""
+    train, test = _record_sets(spark, folder, CROSS_FIELD_BUCKETS)
+    runs = rankers.repeated_runs(train, test, ["none", "full", "low_rank"], 5)
     return metrics.metric_summary(runs, "crosses", "rmse")
 
 
