@@ -177,29 +177,83 @@ class SuffixOrder:
             long += same & (long % 8 == _)
         return long
 
+    def _links(self, later: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(suffix, nearest suffix before or after it in order that starts earlier, or later)."""
+        before, after = _nearest(self.size - 1 - self.order if later else self.order)
+        for link, none in ((before, -1), (after, self.size)):
+            there = np.flatnonzero(link != none)
+            yield self.order[there], self.order[link[there]]
+
     def factors(self, later: bool = False) -> np.ndarray:
         """Longest previous factor of each position, or the longest match that starts later."""
-        position = self.size - 1 - self.order if later else self.order
-        before, after = _nearest(position)
         best = np.zeros(self.size, np.int64)
-        for link, none in ((before, -1), (after, self.size)):
-            there = np.flatnonzero(link != none)
-            own = self.order[there]
-            best[own] = np.maximum(best[own], self.common(own, self.order[link[there]]))
+        for own, other in self._links(later):
+            best[own] = np.maximum(best[own], self.common(own, other))
         return best
 
+    def matched(self, length: int, later: bool = False) -> np.ndarray:
+        """Whether the longest previous factor (or longest later match) of each position has ``length`` bytes.
+
+        Two ranks of the largest width within ``length`` cover it, so the factor itself need not be measured.
+        """
+        out = np.zeros(self.size, bool)
+        width, rank = max((level for level in self.levels if level[0] <= length), key=lambda level: level[0])
+        for own, other in self._links(later):
+            inside = np.maximum(own, other) + length <= self.size
+            own, other = own[inside], other[inside]
+            for shift in [*range(0, length - width, width), length - width]:
+                same = rank[own + shift] == rank[other + shift]
+                own, other = own[same], other[same]
+            out[own] = True
+        return out
+
 
 def repeated_starts(texts: list[bytes], length: int, first_stays: bool) -> list[np.ndarray]:
-    """In each text the starts of strings of ``length`` bytes that start anywhere else too (or: anywhere before)."""
-    lengths = np.array([len(t) for t in texts])
+    """In each text the starts of strings of ``length`` bytes that start anywhere else too (or: anywhere before).
+
+    What is in no string whose hash occurs twice is left out first, and equal pieces are sorted once; the first of
+    them stands for all.
+    """
+    found = [hashes(np.frombuffer(t, np.uint8), length) for t in texts]
+    sizes = np.array([len(f) for f in found])
+    flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    order = np.argsort(flat)
+    ranked = flat[order]
+    same = np.zeros(len(flat), bool)
+    if len(flat) > 1:
+        equal = ranked[1:] == ranked[:-1]
+        same[order[1:][equal]] = same[order[:-1][equal]] = True
+    pieces: dict[bytes, int] = {}
+    places: list[tuple[int, int, int]] = []  # text, start, piece
+    at = 0
+    for k, (text, size) in enumerate(zip(texts, sizes.tolist(), strict=True)):
+        for start, end in united(np.flatnonzero(same[at:at + size]), length).tolist():
+            places.append((k, start, pieces.setdefault(text[start:end], len(pieces))))
+        at += size
+    times = np.bincount([p for _, _, p in places], minlength=len(pieces))
+    widths, starts = [len(p) for p in pieces], _matched_starts(list(pieces), length, first_stays)
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    seen: set[int] = set()
+    for k, start, piece in places:
+        own = starts[piece]
+        if times[piece] > 1 and (piece in seen or not first_stays):
+            own = np.arange(widths[piece] - length + 1)
+        seen.add(piece)
+        out[k].append(own + start)
+    return [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
+
+
+def _matched_starts(texts: list[bytes], length: int, first_stays: bool) -> list[np.ndarray]:
+    """The same for distinct texts, by suffix order."""
+    lengths = np.array([len(t) for t in texts], np.int64)
     data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths)
     if not len(data):
         return [np.zeros(0, np.int64)] * len(texts)
     order = SuffixOrder(data, ends[lengths > 0], length)
-    longest = order.factors()
+    there = order.matched(length)
     if not first_stays:
-        longest = np.maximum(longest, order.factors(later=True))
-    return [np.flatnonzero(longest[e - n:e] >= length) for e, n in zip(ends, lengths, strict=True)]
+        there |= order.matched(length, later=True)
+    return [np.flatnonzero(there[e - n:e]) for e, n in zip(ends, lengths, strict=True)]
 
 
 def united(starts: np.ndarray, length: int) -> np.ndarray:
@@ -291,17 +345,8 @@ def bucket_matches(around: DataFrame, buckets: int, length: int, first_stays: bo
                 around[-1] += a[start[-1] + len(around[-1]) - s:]
             else:
                 around.append(a), start.append(s), h1.append(x), h2.append(y)
-        # equal surroundings: the first stands for all in the suffix order
-        place: dict[bytes, int] = {}
-        of = [place.setdefault(a, len(place)) for a in around]
-        times = np.bincount(of, minlength=len(place))
-        starts = repeated_starts(list(place), length, first_stays)
-        out, seen = [], set()
-        for k, a in enumerate(around):
-            own = starts[of[k]]
-            if times[of[k]] > 1 and (of[k] in seen or not first_stays):
-                own = np.arange(max(0, len(a) - length + 1))
-            seen.add(of[k])
+        out = []
+        for k, own in enumerate(repeated_starts(around, length, first_stays)):
             if len(own):
                 out.append((h1[k], h2[k], (united(own, length) + start[k]).astype("<i8").tobytes()))
         columns = list(zip(*out, strict=True)) or [(), (), ()]
