@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tastegraph.functions.columns import GENRES
+from tastegraph.operators.encode import NUMERIC_FEATURES
 from tastegraph.operators.walks import METAPATHS
 
 _words = "[" + ", ".join(f"'{g}'" for g in GENRES) + "]"
@@ -218,8 +219,8 @@ def oracle_sql() -> dict[str, str]:
         "write_samples": _with(*_fer()) + "SELECT label, count(*) AS n FROM fer GROUP BY label",
         "write_embeddings": """SELECT vec_id || ':' || array_to_string([
             CAST(floor(CAST(v AS DOUBLE) * 1024) / 1024 + 2 AS VARCHAR) FOR v IN embedding], ' ') AS line FROM embeddings""",
-        "multi_hot_vectors": _with(MOVIES, GENRE_CODES) + """SELECT "movieId", [
-            CASE WHEN list_contains(own, k) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR k IN range((SELECT count(*) FROM codes))] AS vector
+        "multi_hot_vectors": _with(MOVIES, GENRE_CODES) + """SELECT "movieId", array_to_string([
+            CASE WHEN list_contains(own, k) THEN '1' ELSE '0' END FOR k IN range((SELECT count(*) FROM codes))], ' ') AS vector
             FROM (SELECT "movieId", list(code) AS own FROM genre_rows JOIN codes ON genre = value GROUP BY "movieId")""",
         **{name: _with(
             RATINGS.replace("ratings AS", "all_ratings AS", 1), MOVIES, PROFILE,
@@ -228,6 +229,8 @@ def oracle_sql() -> dict[str, str]:
             _movie_rolling(20), _user_rolling("movie_rolling", 20, '"movieRatingCount", "movieAvgRating", "movieRatingStddev",'),
         ) + """SELECT "userId", "movieId", "movieRatingCount", "movieAvgRating", "movieRatingStddev", "userRatingCount",
             "userAvgRating", "userRatingStddev" FROM fer""" for name in ("rolling_features_with_gaps", "rolling_features_with_gaps_split_keys")},
+        "numeric_features": _with(*_fer()) + """SELECT "userId", "movieId", """
+        + ", ".join(f"""CAST(coalesce("{c}", 0) AS DOUBLE) AS "{c}" """ for c in NUMERIC_FEATURES) + " FROM fer",
         "export_train_test": _with(*_fer(), f"tenth AS (SELECT * FROM fer WHERE {key} < 0.1)") + """SELECT "userId", "movieId", label, timestamp,
             "userRatingCount", CASE WHEN timestamp <= (SELECT min(timestamp) FROM (
               SELECT timestamp, sum(count(*)) OVER (ORDER BY timestamp) AS upto FROM tenth GROUP BY timestamp)

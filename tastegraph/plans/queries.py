@@ -482,8 +482,10 @@ def multi_hot_genres(spark, folder):
 
 @query
 def multi_hot_vectors(spark, folder):
+    """Genre vectors, written out as text."""
     vectors = encode.multi_hot_vectors(tables.movies(spark, folder))
-    return vectors.select("movieId", vector_to_array("vector").alias("vector"))
+    numbers = F.transform(vector_to_array("vector"), lambda x: x.cast("int").cast("string"))
+    return vectors.select("movieId", F.array_join(numbers, " ").alias("vector"))
 
 
 @query
@@ -546,8 +548,10 @@ def crossed_feature(spark, folder):
 
 @query
 def numeric_features(spark, folder):
+    """The entries of the numeric vector under their names."""
     vector = encode.numeric_vector(fer_table(spark, folder))
-    return vector.select("userId", "movieId", vector_to_array("numeric").alias("numeric"))
+    entries = vector_to_array("numeric")
+    return vector.select("userId", "movieId", *[entries[i].alias(name) for i, name in enumerate(encode.NUMERIC_FEATURES)])
 
 
 # ---- embeddings --------------------------------------------------------------------------------
