@@ -8,10 +8,13 @@ that fall into them:
    overlap nothing; the others go back to their sets with that count.
 2. A set with more n-grams of its own than the similarity allows has no partner and leaves. For the others, a partner
    must share one of the rarest n-grams, of which there are as many as may differ plus one: the prefix.
-3. Sets that share a prefix n-gram are compared, segment by segment: each fragment counts its part of the overlap and
-   the parts are summed per pair. First every set meets only the first set of each of its n-grams, which is a number
-   of pairs in proportion to the input. Sets found linked form components; then only sets of different components that
-   share a prefix n-gram meet. A group of a thousand near copies is thus joined by about a thousand comparisons.
+3. Sets of similar size that share a prefix n-gram are compared with the first of them, their head, segment by
+   segment: each counts its part of the overlap and the parts are summed per pair. That is a number of pairs in
+   proportion to the input.
+4. The comparison also gives each set's difference from its head, and two sets differ by what their differences do
+   not share. So two sets with small differences are linked without looking, and others only if they share enough
+   of their differences: again a prefix is enough, now of the short differences. Those pairs, if still in different
+   components, are compared like the first ones. In a group of a thousand near copies nearly no pair is left.
 
 Hashes have 64 bits; the chance of a wrong answer anywhere is about (number of different n-grams) squared over 2^65.
 """
@@ -23,14 +26,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.llm.common import components, slices, written
 
 #: Hashes in a fragment, about; fragments at least; bits of a hash that name its segment when pairs are compared.
-FRAGMENT, FRAGMENTS, SEGMENT_BITS = 2_000_000, 64, 2
+FRAGMENT, FRAGMENTS, SEGMENT_BITS = 2_000_000, 64, 1
+#: Sets that meet one head and are compared without counting their differences.
+FEW = 8
 #: Words whose hashes a Python worker remembers.
 KNOWN_WORDS = 400_000
 
@@ -95,8 +100,10 @@ def sets_of(docs: DataFrame, n: int, id_column: str, text_column: str) -> DataFr
 
 
 def _packed(owners: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, counts: np.ndarray | None = None) -> list[bytes]:
-    parts = [owners.astype("<i8"), sizes.astype("<i8"), lengths.astype("<i4"), hashes.astype("<u8")]
-    return [p.tobytes() for p in parts] + ([counts.astype("<i4").tobytes()] if counts is not None else [])
+    """Columns of a bundle; sizes and lengths take two or four bytes each, as the largest needs."""
+    short = lambda x: x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4")
+    parts = [owners.astype("<i8"), short(sizes), short(lengths), hashes.astype("<u8")]
+    return [p.tobytes() for p in parts] + ([counts.astype("<u4").tobytes()] if counts is not None else [])
 
 
 def _bundle(key: int, parts: list[bytes], names: list[str]) -> pa.RecordBatch:
@@ -139,8 +146,14 @@ def fragments(docs: DataFrame, n: int, count: int, smallest: int, text_column: s
 
 
 def _unpacked(table: pa.Table, names: list[str]) -> list[np.ndarray]:
-    kinds = {"owners": "<i8", "sizes": "<i8", "lengths": "<i4", "hashes": "<u8", "counts": "<i4"}
-    return [np.concatenate([np.frombuffer(b.as_buffer(), kinds[c]) for b in table.column(c)]) for c in names]
+    kinds = {"owners": "<i8", "hashes": "<u8", "counts": "<u4"}
+    sets = [len(b.as_buffer()) // 8 for b in table["owners"]]
+
+    def column(name: str) -> np.ndarray:
+        buffers = [b.as_buffer() for b in table[name]]
+        return np.concatenate([np.frombuffer(b, kinds.get(name) or f"<u{len(b) // n}") for b, n in zip(buffers, sets, strict=True)])
+
+    return [column(n).astype(np.int64) if n in ("sizes", "lengths") else column(n) for n in names]
 
 
 def shared_ngrams(cut: DataFrame, count: int) -> DataFrame:
@@ -203,14 +216,78 @@ def partners(shared: DataFrame, per_cent: int) -> DataFrame:
     return shared.groupBy("part").applyInArrow(gathered, "set long, n long, prefix array<long>, grams array<long>")
 
 
-def linked(pairs: DataFrame, segments: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs (low, high, low_n, high_n) that overlap enough: each segment counts its part, the parts are summed."""
+def compared(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """``pairs`` (low, high, ...) by segment, with both sides' n-grams of the segment."""
     left = segments.select(F.col("set").alias("low"), "segment", F.col("grams").alias("low_grams"))
     right = segments.select(F.col("set").alias("high"), "segment", F.col("grams").alias("high_grams"))
-    parts = pairs.join(left, "low").join(right, ["high", "segment"])
-    counted = parts.select("low", "high", "low_n", "high_n", F.size(F.array_intersect("low_grams", "high_grams")).alias("part"))
-    both = counted.groupBy("low", "high", "low_n", "high_n").agg(F.sum("part").alias("both"))
-    return both.where(F.lit(100) * F.col("both") >= F.lit(per_cent) * (F.col("low_n") + F.col("high_n") - F.col("both"))).select("low", "high")
+    return pairs.join(left, "low").join(right, ["high", "segment"])
+
+
+def enough(both: str, per_cent: int):
+    """The overlap ``both`` makes a pair (low_n, high_n) linked."""
+    return F.lit(100) * F.col(both) >= F.lit(per_cent) * (F.col("low_n") + F.col("high_n") - F.col(both))
+
+
+PAIR = ["low", "high", "low_n", "high_n"]
+
+
+def linked(pairs: DataFrame, segments: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs (low, high, low_n, high_n) that overlap enough: each segment counts its part, the parts are summed."""
+    parts = compared(pairs, segments).select(*PAIR, F.size(F.array_intersect("low_grams", "high_grams")).alias("part"))
+    return parts.groupBy(*PAIR).agg(F.sum("part").alias("both")).where(enough("both", per_cent)).select("low", "high")
+
+
+def measured(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """The pairs with their overlap ``both`` and ``delta``, the shared n-grams that only one side has."""
+    parts = compared(pairs, segments).select(
+        *PAIR, F.size(F.array_intersect("low_grams", "high_grams")).alias("part"),
+        F.concat(F.array_except("low_grams", "high_grams"), F.array_except("high_grams", "low_grams")).alias("delta"))
+    return parts.groupBy(*PAIR).agg(F.sum("part").alias("both"), F.flatten(F.collect_list("delta")).alias("delta"))
+
+
+def by_difference(members: DataFrame, labels: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
+    """Links that differences alone prove (low, high), and the pairs that may be linked besides (low, high, low_n, high_n).
+
+    ``members`` (head, set, n, own, delta): a set's difference from its head are its ``own`` n-grams and ``delta``. Sets x
+    and y differ by |dx| + |dy| - 2 |dx and dy| n-grams, and are linked if that is at most (1 - t) / (1 + t) of the sum
+    of their sizes. With slack(x) = |dx| (1 + t) - |x| (1 - t) they surely are if slack(x) + slack(y) <= 0, and otherwise
+    must share (slack(x) + slack(y)) / 2 (1 + t) of their differences: then they share one of the rarest, counted among
+    the differences from that head. N-grams that only one set has are the rarest and match nothing. In a group of up to
+    ``FEW`` sets all pairs are taken.
+    """
+    plus, minus = 100 + per_cent, 100 - per_cent
+    whole = F.col("own") + F.size("delta")
+    known = members.withColumn("slack", plus * whole - minus * F.col("n"))
+    tight = known.groupBy("head").agg(F.min(F.struct("slack", "set")).alias("tight"))
+    known = known.join(tight, "head")
+    proved = known.where((F.col("slack") + F.col("tight.slack") <= 0) & (F.col("set") != F.col("tight.set"))).select(
+        F.col("set").alias("low"), F.col("tight.set").alias("high"))
+    placed = known.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+    several = placed.groupBy("head").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("m")).where("a < b").select("head", "m")
+    prefix = lambda share: whole - F.greatest(F.lit(1), F.ceil(share)) + 1 - F.col("own")
+    placed = written(placed.join(several, "head").withColumns({
+        "as_low": prefix(F.col("slack") / plus), "as_high": prefix((F.col("slack") + F.col("tight.slack")) / (2 * plus))}), "ngram-members")
+
+    many = placed.where((F.col("m") > FEW) & (F.greatest("as_low", "as_high") > 0))
+    tokens = many.select("head", "set", "n", "slack", "component", "as_low", "as_high", F.size("delta").alias("size"), F.explode("delta").alias("token"))
+    counts = placed.where(F.col("m") > FEW).select("head", F.explode("delta").alias("token")).groupBy("head", "token").agg(F.count(F.lit(1)).alias("times"))
+    rank = F.row_number().over(Window.partitionBy("head", "set").orderBy("times", "token"))
+    ranked = written(tokens.join(counts.where("times > 1"), ["head", "token"], "left").withColumn("times", F.coalesce("times", F.lit(1)))
+                     .withColumn("rank", rank).where(F.col("rank") <= F.greatest("as_low", "as_high")).where("times > 1")
+                     .drop("times"), "ngram-differences")
+    few = placed.where(F.col("m") <= FEW).select("head", "set", "n", "slack", "component", F.lit(1).alias("as_low"), F.lit(1).alias("as_high"),
+                                                 F.lit((1 << 31) - 1).alias("size"), F.lit(0).cast("bigint").alias("token"), F.lit(1).alias("rank"))
+    entries = ranked.unionByName(few)
+    side = lambda name: entries.where(F.col("rank") <= F.col(f"as_{name}")).select(
+        "head", "token", F.col("set").alias(name), F.col("n").alias(f"{name}_n"), F.col("slack").alias(f"{name}_slack"), F.col("component").alias(f"{name}_component"),
+        (F.col("size") - F.col("rank")).alias(f"{name}_rest"))
+    ordered = F.struct("low_slack", "low") < F.struct("high_slack", "high")
+    # if this is the first n-gram that both differences have, the rest of the shorter one bounds what they share
+    reach = (F.least("low_rest", "high_rest").cast("long") + 1) * (2 * plus) >= F.col("low_slack") + F.col("high_slack")
+    pairs = side("low").join(side("high"), ["head", "token"]).where(reach).where(
+        ordered & (F.col("low_component") != F.col("high_component")) & (F.col("low_slack") + F.col("high_slack") > 0) & near("low_n", "high_n", per_cent))
+    return proved, pairs.select(*PAIR).distinct()
 
 
 def near(low: str, high: str, per_cent: int):
@@ -238,25 +315,22 @@ def classes(docs: DataFrame, n: int = 5, per_cent: int = 80, id_column: str = "d
 
     segments = alive.select("set", F.posexplode(F.array(*map(inside, range(1 << SEGMENT_BITS)))).alias("segment", "grams"))
 
-    # sets of one prefix n-gram and similar size meet their first
+    # sets of one prefix n-gram and similar size meet their head; sizes a link allows are in one class or two neighbouring ones
     ratio = float(np.log(100 / per_cent)) if per_cent < 100 else 1.0
-    postings = alive.select(F.explode("prefix").alias("gram"), "set", "n", F.floor(F.log(F.col("n")) / ratio).alias("about"))
+    about = F.floor(F.log(F.col("n")) / ratio)
+    postings = alive.select(F.explode("prefix").alias("gram"), "set", "n", F.explode(F.array(about, about + 1)).alias("about"))
     heads = postings.groupBy("gram", "about").agg(F.min(F.struct("set", "n")).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    stars = postings.join(heads, ["gram", "about"]).where(F.col("set") != F.col("head.set")).where(near("n", "head.n", per_cent)).select(
+    stars = postings.join(heads, ["gram", "about"]).where(F.col("set") != F.col("head.set")).select(
         F.col("set").alias("low"), F.col("head.set").alias("high"), F.col("n").alias("low_n"), F.col("head.n").alias("high_n")).distinct()
-    first = written(linked(stars, segments, per_cent), "ngram-links")
-    labels = components(first)
-
-    # sets of one prefix n-gram that are still apart
-    apart = written(
-        postings.join(labels.withColumnRenamed("node", "set"), "set", "left")
-        .select("gram", "set", "n", F.coalesce("component", "set").alias("component")), "ngram-postings")
-    open_grams = apart.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("gram")
-    mixed_postings = apart.join(open_grams, "gram")
-    other = mixed_postings.select("gram", F.col("set").alias("high"), F.col("n").alias("high_n"), F.col("component").alias("other"))
-    rest = mixed_postings.select("gram", F.col("set").alias("low"), F.col("n").alias("low_n"), "component").join(other, "gram").where(
-        (F.col("component") < F.col("other")) & near("low_n", "high_n", per_cent)).select("low", "high", "low_n", "high_n").distinct()
-    second = written(linked(rest, segments, per_cent), "ngram-links")
+    met = written(measured(stars, segments), "ngram-stars")
+    first = met.where(enough("both", per_cent)).select("low", "high")
+
+    own = alive.select("set", "n", (F.col("n") - F.size("grams")).alias("own"))
+    members = met.select(F.col("high").alias("head"), F.col("low").alias("set"), "delta").unionByName(
+        met.select(F.col("high").alias("head")).distinct().select("head", F.col("head").alias("set"), F.array().cast("array<long>").alias("delta")))
+    members = members.join(own, "set")
+    proved, rest = by_difference(members, components(first), per_cent)
+    second = written(linked(rest, segments, per_cent).unionAll(proved), "ngram-links")
     links = first.unionAll(second)
     joined = components(links)
 

@@ -63,6 +63,24 @@ def test_against_all_pairs(spark, monkeypatch, n, per_cent, seed):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("few", [0, 8])
+def test_edited_copies_around_the_threshold(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    draw = random.Random(7)
+    base = [f"b{k}" for k in range(150)]
+    rows, pairs = [], []
+    for k in range(160):
+        own = list(base)
+        for _ in range(draw.choice([1, 1, 2, 3, 4, 5])):
+            own[draw.randrange(150)] = draw.choice([f"x{k}", f"x{draw.randrange(1000)}", "shared"])
+        rows.append((k, " ".join(own)))
+    real = jaccard.linked
+    monkeypatch.setattr(jaccard, "linked", lambda p, *a: (pairs.append(p.count()), real(p, *a))[1])
+    got = jaccard.classes(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA), 3, 90).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == plain(rows, 3, 90)
+    assert sum(pairs) < 160 * 159 / 2 / 5
+
+
 def test_a_large_group_needs_few_comparisons(spark, monkeypatch):
     draw = random.Random(1)
     words = [f"w{k}" for k in range(300)]
