@@ -33,7 +33,7 @@ LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 LATIN_NUMBERS = "0-9²³¹¼-¾"
 
 #: New words a Python worker remembers before it starts afresh; the set before is kept until then.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 #: Longer words are merged with a heap.
 SHORT_WORD = 64
 NEVER = np.iinfo(np.int64).max
@@ -229,6 +229,28 @@ class Encoder:
         return out
 
 
+def decoded(ids: bytes | None, tokens: list[bytes]) -> str:
+    """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+
+
+def there_and_back(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, ids, decoded): ``encode_documents`` and ``decode_documents`` in one pass, so that each core needs one Python worker."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = docs.schema[id_column].dataType
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
+        for batch in slices(batches):
+            ids = encoder.encode_batch([t or "" for t in batch.column(1).to_pylist()])
+            texts = [decoded(i, encoder.tokens) for i in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
+
+    schema = T.StructType([T.StructField("key", kind), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    coded = docs.select(F.col(id_column).alias("key"), F.col(text_column).alias("text")).mapInArrow(both, schema)
+    return coded.select(F.col("key").alias(id_column), "ids", "decoded")
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ids): the ids of each whole text as a binary of little-endian unsigned 32-bit integers.
 
@@ -255,12 +277,8 @@ def decode_documents(coded: DataFrame, vocabulary: Vocabulary, id_column: str =
     kind = coded.schema[id_column].dataType
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.tokens.__getitem__
         for batch in slices(batches):
-            texts = [
-                b"".join(map(token, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
-                for ids in batch.column(1).to_pylist()
-            ]
+            texts = [decoded(ids, shared.value.tokens) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
@@ -270,8 +288,7 @@ def decode_documents(coded: DataFrame, vocabulary: Vocabulary, id_column: str =
 
 def digests(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: number of ids, hash of the ids and hash of the text that they decode to."""
-    there_and_back = decode_documents(encode_documents(docs, vocabulary, id_column, text_column), vocabulary, id_column)
-    return there_and_back.select(
+    return there_and_back(docs, vocabulary, id_column, text_column).select(
         id_column,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

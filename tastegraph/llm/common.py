@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tastegraph.session import shared_folder
 
 #: Python sees at most this many characters or bytes of a batch at once (one longer row still counts as one).
-SLICE_SIZE = 8 << 20
+SLICE_SIZE = 3 << 20
 
 
 def run_path(spark: SparkSession, name: str) -> str:

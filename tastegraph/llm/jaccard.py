@@ -37,7 +37,7 @@ FRAGMENT, FRAGMENTS, SEGMENT_BITS = 2_000_000, 64, 1
 #: Sets that meet one head and are compared without counting their differences.
 FEW = 8
 #: Words whose hashes a Python worker remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 
 
 class Words(dict):
