@@ -41,8 +41,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of each document."""
-    vocabulary = byte_vocabulary()
-    coded = bpe.decode_documents(bpe.encode_documents(docs, vocabulary), vocabulary)
+    coded = bpe.there_and_back(docs, byte_vocabulary())
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
