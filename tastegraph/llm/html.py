@@ -1,16 +1,18 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags; those inside a menu, header, footer, sidebar, notice, advert, form or
-comment section go. The first pass judges each other block alone: whether it stands in an article, its share of
-linked characters, its length and its share of stop words. Blocks too short to judge stay open. The second pass gives an
-open block the label of its nearest decided neighbours: the one before and the one after, and if these disagree the
-nearer one, the one before on a tie. If the page marks its article, what stands outside is no main text.
+comment section go. The first pass judges each other block alone: its share of linked characters, its length, its share of stop
+words and whether it stands in an article. Blocks too short to judge stay open. Where no stop words are known, length
+and links decide. An article lifts a block by one step, from none to open and from open to main text; it says nothing
+about blocks outside it. The second pass gives an open block the label of its nearest decided neighbours: the one before
+and the one after, and if these disagree the nearer one, the one before on a tie.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,13 +31,21 @@ RAW_TAGS = frozenset("script style noscript template textarea title iframe noemb
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTER_TAGS = frozenset("nav header footer aside form menu dialog button select fieldset head".split())
 ARTICLE_TAGS = frozenset("article main".split())
-# Words of class, id and role that mark what is no main text.
-OUTER_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|widget|banner|cookie|cookies|consent|gdpr|notice|alert|"
-    r"popup|modal|overlay|ad|ads|adv|advert|adverts|advertisement|adsense|sponsor|sponsored|promo|promoted|comment|comments|reply|replies|respond|"
-    r"disqus|breadcrumb|breadcrumbs|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|search|pagination|"
-    r"pager|toolbar|copyright|complementary|contentinfo|dialog|form|tags|toc)(?:$|[\s_-])", re.I)
-ARTICLE_WORDS = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|content|post|entry|story)(?:$|[\s_-])", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Tags around a whole page at times, and tags whose class may mark an article.
+WRAPPERS, HOLDERS = frozenset("form dialog".split()), frozenset("article main div section td".split())
+# Words of class, id and role that mark what is no main text, and those that may stand beside them in one token.
+OUTER_WORDS = frozenset((
+    "nav navbar navigation menu header masthead footer sidebar aside widget widgets banner cookie cookies consent gdpr notice alert popup modal "
+    "overlay ad ads adv advert adverts advertisement adsense sponsor sponsored promo promoted comment comments reply replies respond disqus "
+    "breadcrumb breadcrumbs share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar "
+    "copyright complementary contentinfo dialog form tags toc").split())
+BESIDE = frozenset("site main global top bottom list area box bar links buttons item items slot unit block".split())
+REPLIES = frozenset("comment comments reply replies respond disqus".split())
+# Whole tokens of class, id, role and itemprop that mark an article.
+ARTICLE_WORDS = frozenset((
+    "article articlebody article-body article-content article-text main maincontent main-content content post post-body post-content entry "
+    "entry-content story story-body story-content").split())
 # Frequent words of four languages.
 STOP_WORDS = frozenset((
     "the of and to in a is that for it was on are as with his they at be this from have or by one had not but what all were when we there can an "
@@ -54,30 +64,42 @@ TAG = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-label|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.I)
 BLANKS = re.compile(r"\s+")
+#: What stands around a word.
+AROUND = string.punctuation + "«»“”„‘’…–—¿¡"
 
 
 class Block:
-    __slots__ = ("parts", "linked", "outer", "inner")
+    __slots__ = ("parts", "linked", "outer", "inner", "heading")
 
-    def __init__(self, outer: bool, inner: bool):
-        self.parts, self.linked, self.outer, self.inner = [], 0, outer, inner
+    def __init__(self, outer: int, inner: bool, heading: bool = False):
+        self.parts, self.linked, self.outer, self.inner, self.heading = [], 0, outer, inner, heading
 
     def text(self) -> str:
         return BLANKS.sub(" ", "".join(self.parts)).strip()
 
 
-def _role(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether a tag opens what is no main text, or the article."""
-    outer, inner = tag in OUTER_TAGS, tag in ARTICLE_TAGS
+def _outer_word(token: str) -> int:
+    """Whether a token marks what is no main text: 2 for replies, which hold articles of their own, 1 for other words."""
+    parts = [x for x in re.split("[_-]", token) if x]
+    words = OUTER_WORDS.intersection(parts)
+    if not words or any(x not in OUTER_WORDS and x not in BESIDE for x in parts):
+        return 0
+    return 2 if words & REPLIES else 1
+
+
+def _role(tag: str, attributes: str) -> tuple[int, bool]:
+    """Whether a tag opens what is no main text (1 if an article in it counts still, else 2), or the article."""
+    outer, inner = (1 if tag in WRAPPERS else 2) if tag in OUTER_TAGS else 0, tag in ARTICLE_TAGS
     if "=" in attributes or "hidden" in attributes:
         for name, a, b, c in ATTRIBUTE.findall(attributes):
-            value = a or b or c
             if name.lower() == "hidden":
-                outer = True
-            elif name.lower() != "aria-label" and tag not in ("html", "body"):
-                if OUTER_WORDS.search(value) and tag not in ARTICLE_TAGS:
-                    outer = True
-                elif ARTICLE_WORDS.search(value) and tag in BLOCK_TAGS:
+                outer = 2
+            elif name.lower() != "aria-label" and tag not in ("html", "body") and tag not in HEADINGS:
+                tokens = (a or b or c).lower().split()
+                word = 0 if tag in ARTICLE_TAGS else max(map(_outer_word, tokens), default=0)
+                if word:
+                    outer = max(outer, word)
+                elif tag in HOLDERS and not ARTICLE_WORDS.isdisjoint(tokens):
                     inner = True
     return outer, inner and not outer
 
@@ -85,8 +107,8 @@ def _role(tag: str, attributes: str) -> tuple[bool, bool]:
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order. Unclosed tags end with the tag around them; a raw-text tag ends at its end tag or the page."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
-    outer = inner = False
+    stack: list[tuple[str, int, bool]] = []
+    outer, inner, heading = 0, False, False
     links = at = 0
     current = Block(outer, inner)
 
@@ -100,7 +122,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal current
         if current.parts:
             found.append(current)
-        current = Block(outer, inner)
+        current = Block(outer, inner, heading)
 
     position = TAG.search
     while m := position(page, at):
@@ -121,9 +143,9 @@ def blocks(page: str) -> list[Block]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if depth is not None:
                 del stack[depth:]
-                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (0, False)
             if tag in BLOCK_TAGS:
-                links = 0
+                links, heading = 0, any(t in HEADINGS for t, _, _ in stack)
                 end()
             continue
         if tag in RAW_TAGS:
@@ -141,13 +163,15 @@ def blocks(page: str) -> list[Block]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if depth is not None and all(t[0] not in BLOCK_TAGS for t in stack[depth + 1:]):
                 del stack[depth:]
-                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         opens_outer, opens_inner = _role(tag, m[3])
         if tag in BLOCK_TAGS or opens_outer or opens_inner:
-            outer, inner = outer or opens_outer and not (inner and tag == "header"), inner or opens_inner
+            if tag in ARTICLE_TAGS and outer < 2:
+                outer = 0
+            outer, inner = max(outer, 0 if inner and tag == "header" else opens_outer), inner or opens_inner
             stack.append((tag, outer, inner))
         if tag in BLOCK_TAGS:
-            links = 0
+            links, heading = 0, any(t in HEADINGS for t, _, _ in stack)
             end()
         links += tag == "a"
     if at < len(page):
@@ -156,25 +180,27 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def first_pass(text: str, linked: int = 0, inner: bool = False, marked: bool = False) -> bool | None:
+def stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(AROUND) in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(text: str, linked: int = 0, inner: bool = False, heading: bool = False, known: bool = True) -> bool | None:
     """True for main text, False for none, None if the block alone does not tell.
 
-    ``inner``: it stands in the article; ``marked``: some block of the page does.
+    ``inner``: it stands in the article; ``known``: the page has text with stop words of a known language.
     """
-    if marked:
-        return inner
     solid = len(text) - text.count(" ")
     if linked > LINKED * solid:
-        return False
+        return None if inner and heading else False
     if len(text) < SHORT:
-        return None
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+        return True if inner else None
+    stops = stop_share(text)
     if stops >= STOP_HIGH:
         return True
-    if stops >= STOP_LOW:
-        return True if len(text) >= LONG else None
-    return False
+    if stops >= STOP_LOW or not stops or not known:
+        return True if inner or len(text) >= LONG else None
+    return None if inner else False
 
 
 def second_pass(labels: list[bool | None]) -> list[bool]:
@@ -198,8 +224,8 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
 def main_text(page: str) -> str:
     """The page's main text, blocks joined by two line ends; empty if there is none."""
     found = [(b, t) for b in blocks(page) if not b.outer and (t := b.text())]
-    marked = any(b.inner for b, _ in found)
-    labels = second_pass([first_pass(t, b.linked, b.inner, marked) for b, t in found])
+    known = any(len(t) >= SHORT and stop_share(t) >= STOP_LOW for _, t in found)
+    labels = second_pass([first_pass(t, b.linked, b.inner, b.heading, known) for b, t in found])
     return "\n\n".join(t for (_, t), keep in zip(found, labels, strict=True) if keep)
 
 

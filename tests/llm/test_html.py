@@ -28,6 +28,29 @@ def test_neighbours():
     assert html.second_pass([]) == []
 
 
+def test_a_marked_block_decides_for_itself_only():
+    other = PROSE.replace("cat", "dog").strip()
+    for mark in ('<h1 class="entry-title">Head</h1>', '<div class="post-meta">Head</div>', '<li class="main-item">Head</li>', '<div class="content">Head</div>',
+                 "<article>Head</article>"):
+        assert html.main_text(f"{mark}<p>{PROSE}</p><div><p>{other}</p></div>") == "\n\n".join(["Head", PROSE.strip(), other])
+    menu = "<ul><li><a href='/a'>Alpha page</a><li><a href='/b'>Beta page</a></ul>"
+    assert html.main_text(f"<article><h1><a href='/'>Head</a></h1><p>{PROSE}</p>{menu}</article><p>{other}</p>") == "\n\n".join(["Head", PROSE.strip(), other])
+
+
+def test_wrappers_named_after_what_they_hold():
+    for wrapper in ("layout-with-sidebar", "no-sidebar", "has-banner wide"):
+        assert html.main_text(f'<div class="{wrapper}"><p>{PROSE}</p></div>') == PROSE.strip()
+    assert html.main_text(f'<div class="sidebar"><article><p>{PROSE}</p></article></div>') == PROSE.strip()
+    assert html.main_text(f'<div class="comments"><article><p>{PROSE}</p></article></div>') == ""
+    assert html.main_text(f'<div class="site-footer"><p>{PROSE}</p></div><p>x') == "x"
+
+
+def test_languages_without_known_stop_words():
+    foreign = "Kissa istui matolla ja oli iloinen, koska talossa oli ruokaa kaikille, jotka tulivat sinne illalla. " * 3
+    menu = "<div><a href='/a'>Etusivu</a> <a href='/b'>Uutiset ja muut</a></div>"
+    assert html.main_text(f"{menu}<p>{foreign}</p>{menu}") == foreign.strip()
+
+
 def test_broken_markup_never_fails():
     for page in ("", "<", "<a", "<!--", "<script>", "</p></p>", "a < b > c", "<p class='x", "<b>" * 5000 + "x", "&#xFFFFFFF;&bogus;&am", "<p hidden>x</p>y"):
         assert isinstance(html.main_text(page), str)
