@@ -7,8 +7,9 @@
 2. Over the leaders NN-descent refines a neighbour graph: it starts from neighbours in the leaves of several
    projections, and in each round the neighbours of every node, in either direction, are compared with each other
    and better ones kept. A node whose list holds only neighbours that matter is saturated and gets a list twice as
-   long. Rounds end when no neighbour that matters was found, no list is saturated, and a sample of nodes compared
-   with all leaders shows the recall that is asked for.
+   long; one whose list is as long as lists get is compared with all leaders instead. Rounds end when no neighbour that
+   matters was found, no list is saturated, and a sample of nodes compared with all leaders shows the recall that is
+   asked for. After the last round saturated nodes, and all if recall is too low, are compared with all leaders.
 3. Pairs of balls are wholly linked, not at all, or decided member by member, as their angle and radii say.
 
 Links follow from exact cosines in double precision. A pair can be missed only if the graph lacks an edge between
@@ -31,8 +32,12 @@ from tastegraph.llm.common import components, written
 NEIGHBOURS, STARTS, LEAF = 10, 3, 512
 #: Rounds that look for balls, at most; their number only changes the work, never the links.
 BALL_ROUNDS = 8
-#: Nodes that the audit compares with all leaders, and the recall below which the search goes on.
-AUDIT_NODES, AUDIT_RECALL, ROUNDS = 200, 0.98, 12
+#: Nodes that the audit compares with all leaders at first and at most, true neighbours it looks for, the recall below which the search goes on.
+AUDIT_NODES, AUDIT_MOST, AUDIT_FOUND, AUDIT_RECALL = 200, 12_800, 300, 0.98
+#: Rounds of the search, the longest list in it, and rows of a block when nodes are compared with all leaders.
+ROUNDS, LONGEST, EXACT = 12, 320, 2048
+#: Cosines that the audit holds at once.
+AUDIT_CELLS = 4 << 20
 #: Rows of a block when members of two balls are compared, and numbers that spread the rows of one vector.
 BLOCK, SALTS = 256, 8
 #: Angles this close to a limit are decided by comparing members.
@@ -211,35 +216,66 @@ def descended(graph: DataFrame, leaders: DataFrame, wanted: DataFrame, k: int) -
     return best_of(graph.unionAll(back).unionAll(found), wanted, k)
 
 
+def exact(some: DataFrame, leaders: DataFrame, matters: float) -> DataFrame:
+    """(u, v, cosine): all neighbours that matter of the nodes ``some``, in both directions. Blocks of both meet in groups."""
+    def blocked(nodes: DataFrame, seed: int) -> tuple[DataFrame, int]:
+        count = max(1, -(-nodes.count() // EXACT))
+        return nodes.select("node", "vector", F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(count)).alias("block")), count
+
+    (left, across), (right, down) = blocked(some, 21), blocked(leaders, 22)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    grid = left.select("node", "vector", F.lit(0).alias("side"), F.col("block").cast("int").alias("a"), every(down).alias("b")).unionByName(
+        right.select("node", "vector", F.lit(1).alias("side"), every(across).alias("a"), F.col("block").cast("int").alias("b")))
+
+    def compare(group: pa.Table) -> pa.Table:
+        side = group["side"].to_numpy()
+        a, b = group.filter(pa.array(side == 0)), group.filter(pa.array(side == 1))
+        va, vb = same_width(unit(a["vector"]), unit(b["vector"]))
+        cosine, u, v = va @ vb.T, a["node"].to_numpy(), b["node"].to_numpy()
+        i, j = np.nonzero((cosine >= matters) & (u[:, None] != v[None, :]))
+        found = cosine[i, j]
+        return pa.Table.from_arrays(
+            [pa.array(np.concatenate([u[i], v[j]])), pa.array(np.concatenate([v[j], u[i]])), pa.array(np.concatenate([found, found]))],
+            names=["u", "v", "cosine"])
+
+    return grid.groupBy("a", "b").applyInArrow(compare, "u long, v long, cosine double")
+
+
 def audit(graph: DataFrame, leaders: DataFrame, matters: float) -> float:
     """Share of the neighbours that matter in the lists of a sample of nodes, by comparing these with all leaders.
 
-    Half of the sample are nodes that have such neighbours, so that it does not consist of lonely ones only.
+    The sample is drawn without a look at the graph and grows until it has ``AUDIT_FOUND`` true neighbours, or is
+    ``AUDIT_MOST`` nodes or all.
     """
     draw = F.xxhash64(F.lit(5), F.col("node"))
-    social = graph.where(F.col("cosine") >= matters).select(F.col("u").alias("node")).distinct()
-    sample = leaders.join(social, "node").orderBy(draw).limit(AUDIT_NODES // 2).unionByName(
-        leaders.orderBy(draw).limit(AUDIT_NODES // 2)).select("node", "vector").toArrow()  # AUDIT_NODES rows at most
-    if not sample.num_rows:
-        return 1.0
-    asked, names = unit(sample["vector"]), sample["node"].to_numpy()
-    shared = leaders.sparkSession.sparkContext.broadcast((asked, names))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mine, theirs = same_width(unit(batch.column(1)), shared.value[0])
-            node = batch.column(0).to_numpy()
-            a, b = np.nonzero(mine @ theirs.T >= matters)
-            other = node[a] != shared.value[1][b]
-            yield pa.RecordBatch.from_arrays([pa.array(shared.value[1][b[other]]), pa.array(node[a[other]])], names=["u", "v"])
-
-    true = leaders.select("node", "vector").mapInArrow(compare, "u long, v long").distinct()
-    got = true.join(graph.select("u", "v", F.lit(1).alias("hit")), ["u", "v"], "left").agg(F.count(F.lit(1)), F.count("hit")).head()
-    return got[1] / got[0] if got[0] else 1.0
+    size = AUDIT_NODES
+    while True:
+        sample = leaders.orderBy(draw).limit(size).select("node", "vector").toArrow()  # AUDIT_MOST rows at most
+        if not sample.num_rows:
+            return 1.0
+        shared = leaders.sparkSession.sparkContext.broadcast((unit(sample["vector"]), sample["node"].to_numpy()))
+
+        def compare(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            asked, names = shared.value
+            step = max(1, AUDIT_CELLS // len(names))
+            for batch in (b.slice(k, step) for b in batches for k in range(0, b.num_rows, step)):
+                mine, theirs = same_width(unit(batch.column(1)), asked)
+                node = batch.column(0).to_numpy()
+                a, b = np.nonzero(mine @ theirs.T >= matters)
+                other = node[a] != names[b]
+                yield pa.RecordBatch.from_arrays([pa.array(names[b[other]]), pa.array(node[a[other]])], names=["u", "v"])
+
+        true = leaders.select("node", "vector").mapInArrow(compare, "u long, v long").distinct()
+        hits = graph.select("u", "v", F.lit(1).alias("hit")).distinct()
+        got = true.join(hits, ["u", "v"], "left").agg(F.count(F.lit(1)), F.count("hit")).head()
+        shared.unpersist()
+        if got[0] >= AUDIT_FOUND or sample.num_rows < size or size >= AUDIT_MOST:
+            return got[1] / got[0] if got[0] else 1.0
+        size = min(4 * size, AUDIT_MOST)
 
 
 def neighbour_graph(leaders: DataFrame, matters: float, k: int = NEIGHBOURS) -> tuple[DataFrame, float]:
-    """(u, v, cosine) with all neighbours that matter, and the audited recall."""
+    """(u, v, cosine) with all neighbours that matter, and the audited recall, which is ``AUDIT_RECALL`` at least."""
     spark = leaders.sparkSession
     wanted = spark.createDataFrame([], "u long, k int")
     starts = first_graph(leaders, 1, k)
@@ -247,23 +283,42 @@ def neighbour_graph(leaders: DataFrame, matters: float, k: int = NEIGHBOURS) ->
         starts = starts.unionAll(first_graph(leaders, s, k))
     graph = written(best_of(starts, wanted, k), "graph")
     before = graph.where(F.col("cosine") >= matters).count()
+    done, sure = spark.createDataFrame([], "u long"), spark.createDataFrame([], "u long, v long, cosine double")
+
+    def completed(full: DataFrame) -> None:
+        """Compare saturated nodes with all leaders, each once."""
+        nonlocal done, sure
+        new = full.select("u").join(done, "u", "left_anti")
+        if not new.isEmpty():
+            done = written(done.unionAll(new), "compared")
+            some = leaders.join(new.withColumnRenamed("u", "node"), "node", "left_semi")
+            sure = written(sure.unionAll(exact(some, leaders, matters)), "exact")
+
+    length = F.coalesce("k", F.lit(k))
     for turn in range(ROUNDS):
         graph = written(descended(graph, leaders, wanted, k), "graph")
         after = graph.where(F.col("cosine") >= matters).count()
-        full = graph.groupBy("u").agg(F.min("cosine").alias("worst"), F.count(F.lit(1)).alias("n")).join(wanted, "u", "left").where(
-            (F.col("worst") >= matters) & (F.col("n") >= F.coalesce("k", F.lit(k))))
-        more = written(full.select("u", (2 * F.coalesce("k", F.lit(k))).cast("int").alias("k")), "saturated")
-        saturated = not more.isEmpty()
-        if saturated:
+        full = written(graph.groupBy("u").agg(F.min("cosine").alias("worst"), F.count(F.lit(1)).alias("n")).join(wanted, "u", "left").where(
+            (F.col("worst") >= matters) & (F.col("n") >= length)).select("u", length.alias("k")), "saturated")
+        more = full.where(F.col("k") < LONGEST).select("u", F.least(2 * F.col("k"), F.lit(LONGEST)).cast("int").alias("k"))
+        if not more.isEmpty():
             wanted = written(wanted.join(more, "u", "left_anti").unionByName(more), "lists")
         elif after == before:
-            recall = audit(graph, leaders, matters)
-            if recall >= AUDIT_RECALL or turn == ROUNDS - 1:
-                return graph, recall
-            # a fresh projection brings nodes together that no round has reached
-            graph = written(best_of(graph.unionAll(first_graph(leaders, 100 + turn, k)), wanted, k), "graph")
+            completed(full)
+            recall = audit(graph.unionAll(sure), leaders, matters)
+            if recall >= AUDIT_RECALL:
+                return graph.unionAll(sure), recall
+            # fresh projections bring nodes together that no round has reached
+            fresh = graph
+            for s in range(STARTS):
+                fresh = fresh.unionAll(first_graph(leaders, 100 + turn * STARTS + s, k))
+            graph = written(best_of(fresh, wanted, k), "graph")
         before = after
-    return graph, audit(graph, leaders, matters)
+    completed(full)
+    recall = audit(graph.unionAll(sure), leaders, matters)
+    if recall >= AUDIT_RECALL:
+        return graph.unionAll(sure), recall
+    return written(exact(leaders, leaders, matters), "exact"), 1.0
 
 
 def compare_members(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
@@ -318,6 +373,8 @@ def linked(vectors: DataFrame, cosine: float = 0.95, id_column: str = "vec_id",
     leaders = written(leaders, "leaders")
     matters = math.cos(min(math.pi, 2 * theta))
     graph, recall = neighbour_graph(leaders, matters)
+    if recall < AUDIT_RECALL:
+        raise RuntimeError(f"recall of the neighbour graph is {recall}")
     if report:
         report(recall)
 

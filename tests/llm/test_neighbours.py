@@ -53,6 +53,27 @@ def test_saturated_lists_grow(spark, monkeypatch):
     assert len(found & want) >= 0.95 * len(want)
 
 
+def test_saturated_lists_end_exact(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BALL_ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    draw = np.random.default_rng(6)
+    centre = draw.standard_normal(24)
+    m = [np.float32(centre + 0.22 * draw.standard_normal(24)).tolist() for _ in range(200)]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(m)], SCHEMA)
+    got = neighbours.linked(frame).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == plain(list(range(len(m))), m, 0.95)
+
+
+def test_audit_sees_losses_between_lonely_nodes(spark):
+    draw = np.random.default_rng(7)
+    m = draw.standard_normal((800, 24))
+    m[1::100] = m[0::100] * 2
+    leaders = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "node long, vector array<double>")
+    assert neighbours.audit(spark.createDataFrame([], "u long, v long, cosine double"), leaders, 0.9) == 0
+    pairs = {(r.u, r.v) for r in neighbours.exact(leaders.where("node % 100 = 0"), leaders, 0.9).collect()}
+    assert pairs == {p for k in range(0, 800, 100) for p in ((k, k + 1), (k + 1, k))}
+
+
 def test_edges(spark):
     rows = [(1, [1.0, 0.0], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [float("nan"), 1.0], 1), (5, [None, 1.0], 1), (6, [float("inf"), 1.0], 1),
             (7, [1e-30, 0.0], 1), (None, [1.0, 0.0], 1), (9, [1.0], 1), (9, [1.0], 1), (8, [], 1), (10, [-1.0, 0.0], 1)]
