@@ -70,5 +70,55 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN least l ON l.id = d.doc
 """
 
 
+
+
+def _characters(text: str, characters: str) -> str:
+    return f"(len({text}) - len(translate({text}, '{characters}', '')))"
+
+
+def _op13() -> str:
+    marks, closing, symbols = ".!?…。", "\"'')\\]»”’", "#*$%&|<>"
+    phrases = (
+        "all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|"
+        "enable javascript|lorem ipsum|copyright (?:\\(c\\)|©|[0-9]{4})|click here|read more|sign up|log in|subscribe to|"
+        "share (?:this|on)|follow us|back to top|skip to (?:main )?content|powered by")
+    word, space = "[^\\x20\\x09-\\x0D]+", "[\\x20\\x09-\\x0D]"
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS ws,
+         [l FOR l IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(l, '{word}')] AS ls
+  FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS k, unnest(ls) AS l FROM d),
+c AS (
+  SELECT *, len(regexp_extract_all(l, '{word}')) AS n, {_characters("l", marks)} AS m, {_characters("l", symbols + "»›•·→")} AS s FROM l),
+j AS (
+  SELECT doc_id, k, l, CASE
+    WHEN s >= 2 AND s * 4 >= n THEN 'navigation'
+    WHEN NOT regexp_matches(l, '[{marks}][{closing}]*{space}*\\z') AND m * 60 < n THEN 'punctuation'
+    WHEN n >= 8 AND m * 2 > n THEN 'punctuation'
+    WHEN n <= 30 AND regexp_matches(l, '(?i){phrases}') THEN 'boilerplate' END AS failed
+  FROM c),
+k AS (
+  SELECT doc_id, count(*) AS n_lines, count_if(failed = 'punctuation') AS n_punctuation, count_if(failed = 'navigation') AS n_navigation,
+         count_if(failed = 'boilerplate') AS n_boilerplate, count(*) - count(DISTINCT l) AS n_dup_lines,
+         coalesce(string_agg(l, chr(10) ORDER BY k) FILTER (failed IS NULL), '') AS clean
+  FROM j GROUP BY doc_id),
+w AS (SELECT doc_id, k, array_to_string(ws[k:k + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS k FROM d)),
+r AS (SELECT doc_id, g FROM w GROUP BY doc_id, g HAVING count(*) > 1),
+o AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT w.doc_id, unnest(range(w.k, w.k + 5)) AS p FROM w JOIN r ON w.doc_id = r.doc_id AND w.g = r.g)
+  GROUP BY doc_id),
+f AS (
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST({_characters("t", symbols)} AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(o.n, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_punctuation, 0) AS n_punctuation, coalesce(n_navigation, 0) AS n_navigation,
+         coalesce(n_boilerplate, 0) AS n_boilerplate, coalesce(clean, '') AS clean,
+         CAST(len(regexp_replace(coalesce(clean, ''), '{space}', '', 'g')) AS BIGINT) AS kept_chars
+  FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT * EXCLUDE (clean), NOT base_failed AND 100 * kept_chars >= 50 * word_chars AS kept, sha256(clean) AS clean_sha256 FROM b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_maxscore": OP1, "op5_warc": OP5, "op8_neighbours": OP8, "op9_jaccard": OP9}
+    return {"op1_maxscore": OP1, "op5_warc": OP5, "op8_neighbours": OP8, "op9_jaccard": OP9, "op13_linerules": _op13()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe, html, jaccard, langid, maxscore, mixing, neighbours, secrets, suffixes, warc
+from tastegraph.llm import bpe, html, jaccard, langid, linerules, maxscore, mixing, neighbours, secrets, suffixes, warc
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,9 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 3-word shingles overlap by 90 per cent."""
     found = jaccard.classes(read_table(spark, folder, "documents"), n=3, per_cent=90)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op13_linerules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every whole text, and the verdict of rules that judge lines first."""
+    return linerules.digests(read_table(spark, folder, "documents"))
