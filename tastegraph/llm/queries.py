@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe, html, jaccard, langid, linerules, maxscore, mixing, neighbours, secrets, suffixes, warc
+from tastegraph.llm import bpe, html, jaccard, langid, linerules, maxscore, mixing, neighbours, periods, secrets, suffixes, warc, whitening
 from tastegraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,18 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeating words in every whole text, some of them planted, and the texts without the repeats."""
+    return periods.digests(read_table(spark, folder, "documents"))
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All usable vectors along the four leading components of the distinct ones, scaled to unit variance."""
+    return whitening.whitened(read_table(spark, folder, "embeddings"), 256.0, 4)
+
+
 @query
 def op13_linerules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every whole text, and the verdict of rules that judge lines first."""
