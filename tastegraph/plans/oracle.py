@@ -206,6 +206,18 @@ points AS (
          least(greatest(s, 1e-15), 1 - 1e-15) AS p FROM curve)"""
 
 
+_classes = (
+    RATINGS,
+    """house AS (
+  SELECT "userId", "movieId", rating FROM ratings UNION ALL
+  SELECT -1, m, CAST(0.5 + 0.5 * (((m % 10) + 10) % 10) AS DOUBLE) FROM (
+    SELECT p_partkey AS m FROM part UNION SELECT -(1 + l_orderkey * 8 + l_linenumber) FROM lineitem))""",
+    """shares AS (SELECT "movieId", "userId", rating / max(rating) OVER (PARTITION BY "movieId") AS q FROM house)""",
+    """directions AS (SELECT "movieId", list({'u': "userId", 'q': q} ORDER BY "userId") AS v FROM shares GROUP BY "movieId")""",
+    """classes AS (SELECT "movieId", min("movieId") OVER (PARTITION BY v) AS "classId", count(*) OVER (PARTITION BY v) AS members FROM directions)""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     split_case = "CASE WHEN {u} < 0.8 THEN 'train' ELSE 'test' END"
     key = _unit('"userId"', '"movieId"')
@@ -296,6 +308,10 @@ def oracle_sql() -> dict[str, str]:
             RATINGS, f"train AS (SELECT * FROM ratings WHERE {key} < 0.8)", _cosines(0.2, "train")
         ) + """SELECT "movieId", CAST(0 AS BIGINT) AS page, array_to_string(list_sort(list("movieIdTail" || ':' || format('{:.5f}', cos))), ' ') AS "simList"
             FROM both_ways GROUP BY "movieId" """,
+        "movie_classes": _with(*_classes) + 'SELECT "movieId", "classId", members FROM classes',
+        "similar_classes": _with(*_classes, "leaders AS (SELECT house.* FROM house JOIN classes USING (\"movieId\") WHERE \"movieId\" = \"classId\")",
+                                 _cosines(0.2, "leaders"))
+        + f"""SELECT "movieIdHead" AS "classHead", "movieIdTail" AS "classTail", {_r('cos', 6)} AS cos FROM cosines""",
         "user_sequences": _with(RATINGS) + """SELECT "userId", CAST(0 AS BIGINT) AS part,
             string_agg(CAST("movieId" AS VARCHAR), ' ' ORDER BY timestamp, "movieId") AS "movieIdStr"
             FROM ratings WHERE rating >= 3.5 GROUP BY "userId" """,
@@ -366,4 +382,5 @@ def oracle_sql() -> dict[str, str]:
             {_r('stddev_pop("movieAvgRating")', 6)} AS stdv FROM fer GROUP BY "releaseYear" """,
     }
     sql["similar_items_heavy"] = sql["similar_items"]
+    sql["pair_product_sum_blocks"] = sql["pair_product_sum"]
     return sql

@@ -348,6 +348,37 @@ def similar_items_heavy(spark, folder):
     return item_cf.both_directions(pairs).withColumn("cos", fn.rounded(F.col("cos"), 6))
 
 
+def _with_house_account(spark, folder):
+    """The ratings, and a user who rated every movie and, as movies of their own, every line of every order."""
+    films = tables.movies(spark, folder).select("movieId")
+    lines = tables.table(spark, folder, "lineitem").select(
+        (-(1 + F.col("l_orderkey") * 8 + F.col("l_linenumber"))).cast("long").alias("movieId")).distinct()
+    house = films.unionByName(lines).select(
+        F.lit(-1).cast("long").alias("userId"), "movieId", (0.5 + 0.5 * F.pmod("movieId", F.lit(10))).cast("double").alias("rating"),
+        F.lit(0).cast("long").alias("timestamp"))
+    return tables.ratings(spark, folder).unionByName(house)
+
+
+@query
+def movie_classes(spark, folder):
+    """Movies with rating vectors of one direction, where one user rated more movies than all others know."""
+    return item_cf.similar_classes(_with_house_account(spark, folder), MIN_COS)[0]
+
+
+@query
+def similar_classes(spark, folder):
+    """Similar classes of movies beside a user whose own history has quadratically many similar pairs."""
+    found = item_cf.similar_classes(_with_house_account(spark, folder), MIN_COS)[1]
+    return found.select("classHead", "classTail", fn.rounded(F.col("cos"), 6).alias("cos"))
+
+
+@query
+def pair_product_sum_blocks(spark, folder):
+    """The same pairs with histories cut into blocks of eight movies."""
+    found = item_cf.pair_product_sums(tables.ratings(spark, folder), MIN_COS, block_rows=8)
+    return found.withColumn("cos", fn.rounded(F.col("cos"), 6))
+
+
 @query
 def item_cf_(spark, folder):
     """Similar-item lists of the training split, as text."""
