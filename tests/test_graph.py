@@ -100,3 +100,50 @@ def test_unknown_letters_and_empty_graph(spark):
     with pytest.raises(ValueError):
         walks.metapath_walks(empty, [("ix", 1)])
     assert walks.metapath_walks(empty, [("iu", 5)]).count() == 0
+
+
+def test_a_step_leaves_the_edges_in_their_buckets(spark, rated, films):
+    edges = graph.meta_edge_rows(rated, films)
+    numbered = walks.numbered_edges(edges, walks.node_sizes(edges))
+    store = walks.edge_store(numbered)
+    paths = [("uiu", 50), ("ig", 30)]
+    starts = walks._starts(spark, walks.start_ranges(edges), walks.node_sizes(edges), paths, 1)
+    frontier, left = walks._reached(starts, walks._next_slot(paths, 1, 1, 1000), walks.shared_folder(spark) + "/step-test-" + store)
+    assert left <= frontier.count() == 80
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = walks._step(spark.table(store), frontier, send=False)
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        before_scan = plan[:plan.index("Bucketed: true")]
+        assert "Exchange" not in before_scan.split("ShuffledHashJoin")[1]
+        assert moved.count() == left > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql(f"DROP TABLE {store}")
+
+
+def test_sent_and_shuffled_frontiers_walk_alike(spark, rated, films):
+    edges = graph.meta_edge_rows(rated, films)
+    rows = [walks.walk_visits(edges, [("uiig", 150), ("igi", 100)], 9, sent_walkers=n).collect() for n in (0, 1000)]
+    assert sorted(map(str, rows[0])) == sorted(map(str, rows[1])) and len(rows[0]) > 500
+
+
+def test_no_step_after_the_last_walker(spark, monkeypatch):
+    edges = spark.createDataFrame([("a", "item", "b", "item", 0)], "src string, src_type string, dst string, dst_type string, tie bigint")
+    steps = []
+    taken = walks._step
+    monkeypatch.setattr(walks, "_step", lambda *args: steps.append(1) or taken(*args))
+    visits = walks.walk_visits(edges, [("iiiiiiii", 5)])
+    assert {(r.walk, r.step, r.node) for r in visits.collect()} == {(w, k, "ab"[k]) for w in range(5) for k in range(2)}
+    assert len(steps) == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+
+
+def test_starts_are_in_proportion(spark):
+    rows = [(f"n{k:02d}", "item", "z", "item", i) for k in range(20) for i in range(1 + 50 * (k == 7))]
+    edges = spark.createDataFrame(rows, "src string, src_type string, dst string, dst_type string, tie bigint")
+    first = walks.walk_visits(edges, [("i", 3000)]).groupBy("node").count().collect()
+    share = {r.node: r["count"] / 3000 for r in first}
+    assert sum(share.values()) == pytest.approx(1) and share["n07"] == pytest.approx(51 / 70, abs=0.04) and len(share) == 20
