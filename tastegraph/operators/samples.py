@@ -6,7 +6,7 @@ the current one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import first_genres, genre_list, ranked_by_count, release_year, rounded
@@ -14,6 +14,8 @@ from tastegraph.operators.ordering import HOT_ROWS, add_past_stats, over_history
 
 MOVIE_ORDER = ["timestamp", "userId"]
 USER_ORDER = ["timestamp", "movieId"]
+# Favourite genres are counted in columns of their own up to so many genres, beyond that in lists.
+GENRE_COLUMNS = 40
 
 
 def positive_ratings(ratings: DataFrame, min_rating: float = 3.5) -> DataFrame:
@@ -66,47 +68,115 @@ def movie_rolling_features(
     return over_history(samples, "movieId", MOVIE_ORDER, history, add, hot_rows)
 
 
-def movie_profile(movies: DataFrame) -> DataFrame:
+def movie_profile(movies: DataFrame, genres: list[str] | None = None) -> DataFrame:
+    """Year and genres of a movie; with ``genres``, a vocabulary, also their marks for ``user_rolling_features``."""
+    listed = genre_list(F.col("genres"))
     return movies.select(
         "movieId",
         release_year(F.col("title")).alias("releaseYear"),
         *first_genres(F.col("genres")),
-        genre_list(F.col("genres")).alias("genreList"),
+        listed.alias("genreList"),
+        *([genre_marks(listed, genres).alias("genreMarks")] if genres else []),
     )
 
 
-def attach_movie_features(samples: DataFrame, movies: DataFrame) -> DataFrame:
+def attach_movie_features(samples: DataFrame, movies: DataFrame, genres: list[str] | None = None) -> DataFrame:
     """Year and genres of the rated movie; samples of unknown movies stay, with NULLs."""
-    return samples.join(movie_profile(movies), "movieId", "left")
+    return samples.join(movie_profile(movies, genres), "movieId", "left")
+
+
+def genre_vocabulary(genres: Column, rows: DataFrame) -> list[str] | None:
+    """All genres in a column of lists, or None if there are more than ``GENRE_COLUMNS``."""
+    found = rows.select(F.explode(genres).alias("genre")).filter("genre is not null").distinct().limit(GENRE_COLUMNS + 1).collect()
+    return sorted(r.genre for r in found) if len(found) <= GENRE_COLUMNS else None
+
+
+def genre_marks(listed: Column, genres: list[str]) -> Column:
+    """For each genre how often it is in a list and its place there, null where it is not."""
+    times = [F.coalesce(F.size(listed) - F.size(F.array_remove(listed, g)), F.lit(0)) for g in genres]
+    return F.struct(F.array(*times).alias("times"), F.array(*[F.nullif(F.array_position(listed, g), F.lit(0)) for g in genres]).alias("place"))
+
+
+def _latest_liked(rows: DataFrame, window: WindowSpec, history: int, n: int = 5) -> DataFrame:
+    """Adds ``_liked1`` ... ``_liked<n>``: the movies liked last among the ``history`` rows before the current one.
+
+    The last one liked is the running last value. The one before it is what that row, in turn, saw as its last, and so on:
+    n running values, whatever the history.
+    """
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    own = F.struct("movieId", "_at")
+    for k in range(1, n + 1):
+        rows = rows.withColumn(f"_liked{k}", F.last(F.when(F.col("label") == 1, own), ignorenulls=True).over(before))
+        own = F.col(f"_liked{k}")
+    return rows.withColumns({
+        f"_liked{k}": F.when(F.col(f"_liked{k}._at") >= F.col("_at") - history, F.col(f"_liked{k}.movieId")) for k in range(1, n + 1)})
+
+
+def _favourite_genres(rows: DataFrame, window: WindowSpec, groups: list[str], history: int, genres: list[str]) -> DataFrame:
+    """Adds ``_genres``: genres liked in the ``history`` rows before the current one, most frequent first, ties by first
+    appearance.
+
+    The rows of a frame form a multiset that slides: the count of a genre in it is the difference of two running counts, and
+    its first appearance is the next one at or after the frame's begin, a running minimum from the end. A row holds a few
+    numbers per genre, however long the frame.
+    """
+    if not genres:
+        return rows.withColumn("_genres", F.array().cast("array<string>"))
+    marks = genre_marks(F.col("genreList"), genres) if "genreMarks" not in rows.columns else F.col("genreMarks")
+    rows = rows.withColumn("_marks", F.when(F.col("label") == 1, marks))
+    own = [F.coalesce(F.get("_marks.times", F.lit(i)), F.lit(0)) for i in range(len(genres))]
+    place = [F.col("_at") * F.lit(1 << 20) + F.get("_marks.place", F.lit(i)) for i in range(len(genres))]
+    counts, firsts = ([f"_{kind}{i}" for i in range(len(genres))] for kind in ("count", "first"))
+    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({name: F.sum(own[i]).over(running) for i, name in enumerate(counts)})
+    rows = rows.withColumn("_counts", F.array(*counts)).drop(*counts)
+    rows = rows.withColumns({"_until": F.lag("_counts", 1).over(window), "_before": F.lag("_counts", history + 1).over(window)}).drop("_counts")
+    # a place in the timeline and, in the lower bits, in the row's list
+    backward = Window.partitionBy(*groups).orderBy(F.desc("_at"))
+    to_end, whole = (backward.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumns({name: F.min(place[i]).over(to_end) for i, name in enumerate(firsts)})
+    rows = rows.withColumn("_firsts", F.array(*firsts)).drop("_marks", *firsts)
+    rows = rows.withColumns({"_start": F.lead("_firsts", history).over(backward), "_begin": F.last("_firsts").over(whole)}).drop("_firsts")
+    at = lambda name, i: F.get(name, F.lit(i))
+    less = [F.coalesce(at("_before", i), F.lit(0)) - F.coalesce(at("_until", i), F.lit(0)) for i in range(len(genres))]
+    first = [at(F.coalesce("_start", "_begin"), i) for i in range(len(genres))]
+    held = [F.when(less[i] < 0, F.struct(less[i].alias("less"), first[i].alias("first"), F.lit(g).alias("genre"))) for i, g in enumerate(genres)]
+    ranked = F.sort_array(F.array_compact(F.array(*held)))
+    return rows.withColumn("_genres", ranked["genre"]).drop("_until", "_before", "_start", "_begin")
 
 
 def user_rolling_features(
-    samples: DataFrame, history: int = 100, digits: int = 2, min_history: int = 2, hot_rows: int = HOT_ROWS
+    samples: DataFrame,
+    history: int = 100,
+    digits: int = 2,
+    min_history: int = 2,
+    hot_rows: int = HOT_ROWS,
+    genres: list[str] | None = None,
 ) -> DataFrame:
     """What a user had rated before: counts, means, deviations, last liked movies, favourite genres.
 
     Needs ``label``, ``releaseYear`` and ``genreList``. Rows with fewer than ``min_history`` earlier
-    ratings are removed.
+    ratings are removed. ``genres`` are all genres that occur; without them they are looked up first. Where they
+    are more than ``GENRE_COLUMNS``, each row's genres are listed and ranked instead, with the same result.
     """
+    genres = genre_vocabulary(F.col("genreList"), samples) if genres is None else genres
 
     def add(rows: DataFrame, window: WindowSpec) -> DataFrame:
-        liked = F.when(
-            F.col("label") == 1,
-            F.struct("movieId", F.coalesce("genreList", F.array().cast("array<string>")).alias("genres")),
-        )
-        rows = rows.withColumn("_liked", F.collect_list(liked).over(window.rowsBetween(-history, -1)))
-        return add_past_stats(rows, window, history, {"_user": "rating", "_year": "releaseYear"})
-
-    seen = over_history(samples, "userId", USER_ORDER, history, add, hot_rows)
-    seen = (
-        seen.filter(F.col("_userCount") >= min_history)
-        .withColumns({"_recent": F.reverse("_liked.movieId"), "_genres": F.flatten("_liked.genres")})
-        .withColumn("_genres", ranked_by_count(F.col("_genres")))
-    )
-    kept = [c for c in samples.columns if c != "genreList"]
+        groups = ["userId", *[c for c in rows.columns if c == "_chunk"]]
+        rows = _latest_liked(rows.withColumn("_at", F.row_number().over(window)), window, history)
+        rows = add_past_stats(rows, window, history, {"_user": "rating", "_year": "releaseYear"})
+        if genres is not None and len(genres) <= GENRE_COLUMNS:
+            return _favourite_genres(rows, window, groups, history, genres)
+        liked = F.when(F.col("label") == 1, F.coalesce("genreList", F.array().cast("array<string>")))
+        return rows.withColumn("_genres", F.flatten(F.collect_list(liked).over(window.rowsBetween(-history, -1))))
+
+    seen = over_history(samples, "userId", USER_ORDER, history, add, hot_rows).filter(F.col("_userCount") >= min_history)
+    if genres is None or len(genres) > GENRE_COLUMNS:
+        seen = seen.withColumn("_genres", ranked_by_count(F.col("_genres")))
+    kept = [c for c in samples.columns if c not in ("genreList", "genreMarks")]
     return seen.select(
         *kept,
-        *[F.get("_recent", F.lit(i)).alias(f"userRatedMovie{i + 1}") for i in range(5)],
+        *[F.col(f"_liked{i + 1}").alias(f"userRatedMovie{i + 1}") for i in range(5)],
         F.col("_userCount").alias("userRatingCount"),
         F.floor("_yearMean").cast("int").alias("userAvgReleaseYear"),
         rounded(F.col("_yearStddev"), digits).alias("userReleaseYearStddev"),
@@ -126,10 +196,9 @@ def rating_samples(
 ) -> DataFrame:
     """The labelled sample table: rating, label, movie features, user features (27 columns)."""
     labelled = add_label(ratings.select("movieId", "userId", "rating", "timestamp"), threshold)
-    with_movies = attach_movie_features(
-        movie_rolling_features(labelled, history, digits, hot_rows), movies
-    )
-    return user_rolling_features(with_movies, history, digits, hot_rows=hot_rows)
+    genres = genre_vocabulary(genre_list(F.col("genres")), movies)
+    with_movies = attach_movie_features(movie_rolling_features(labelled, history, digits, hot_rows), movies, genres)
+    return user_rolling_features(with_movies, history, digits, hot_rows=hot_rows, genres=genres)
 
 
 def as_printed(samples: DataFrame) -> DataFrame:
