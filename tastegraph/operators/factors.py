@@ -8,6 +8,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.operators.products import largest_products
+
 
 def als_input(ratings: DataFrame) -> DataFrame:
     """Ids as int (larger ids fail the cast) and ratings as float."""
@@ -50,6 +52,23 @@ def recommend_users_for_all_items(model: ALSModel, k: int = 10) -> DataFrame:
     return model.recommendForAllItems(k)
 
 
+def best_items_for_users(model: ALSModel, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Exact top lists with bounds instead of all products: (userId, rank, movieId, score) and (pairs, scored).
+
+    The lists are those of ``recommend_items_for_all_users`` but for the order of items whose scores agree in single precision.
+    """
+    named = lambda df: df.select("id", F.col("features").alias("vector"))
+    best, work = largest_products(named(model.userFactors), named(model.itemFactors), k)
+    return best.withColumnsRenamed({"asker": "userId", "item": "movieId"}), work
+
+
+def best_users_for_items(model: ALSModel, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """The same the other way round: (movieId, rank, userId, score) and (pairs, scored)."""
+    named = lambda df: df.select("id", F.col("features").alias("vector"))
+    best, work = largest_products(named(model.itemFactors), named(model.userFactors), k)
+    return best.withColumnsRenamed({"asker": "movieId", "item": "userId"}), work
+
+
 def first_ids(ratings: DataFrame, column: str, n: int = 3) -> DataFrame:
     """The ``n`` smallest distinct ids."""
     return ratings.select(F.col(column).cast("int").alias(column)).distinct().orderBy(column).limit(n)

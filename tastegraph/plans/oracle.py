@@ -369,6 +369,10 @@ def oracle_sql() -> dict[str, str]:
               FROM embeddings q JOIN firsts USING (vec_id) JOIN embeddings e ON e.vec_id <> q.vec_id)
             SELECT query, id, round(c, 6) AS cos, CAST(rank AS INT) AS rank FROM (
               SELECT *, row_number() OVER (PARTITION BY query ORDER BY c DESC, id) AS rank FROM scored) WHERE rank <= 20""",
+        "largest_products": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+            scored AS (SELECT a.vec_id AS asker, b.vec_id AS item, list_inner_product(a.e, b.e) AS s FROM v a, v b)
+            SELECT asker, CAST(rank AS INT) AS rank, item, round(s, 5) AS score FROM (
+              SELECT *, row_number() OVER (PARTITION BY asker ORDER BY s DESC, item) AS rank FROM scored) WHERE rank <= 10""",
         "rmse": _with(*_fer())
         + """SELECT round(sqrt(avg(("movieAvgRating" - rating) * ("movieAvgRating" - rating))), 6) AS rmse FROM fer""",
         "first_ids": _with(RATINGS) + """SELECT DISTINCT CAST("userId" AS INT) AS "userId" FROM ratings ORDER BY 1 LIMIT 3""",

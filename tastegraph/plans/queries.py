@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.operators import (
-    embeddings, encode, factors, graph, item_cf, metrics, rankers, samples, split, walks,
+    embeddings, encode, factors, graph, item_cf, metrics, products, rankers, samples, split, walks,
 )
 from tastegraph.functions import columns as fn
 from tastegraph.plans import tables
@@ -696,6 +696,35 @@ def recommend_users_for_all_items(spark, folder):
     return factors.recommend_users_for_all_items(_als(spark, folder)[0])
 
 
+@query
+def best_items_for_users(spark, folder):
+    """Every user's ten best movies by bounded search."""
+    return factors.best_items_for_users(_als(spark, folder)[0])[0]
+
+
+@query
+def best_users_for_items(spark, folder):
+    return factors.best_users_for_items(_als(spark, folder)[0])[0]
+
+
+@query
+def scored_pairs(spark, folder):
+    """How many of all pairs the two bounded searches multiply in full."""
+    model = _als(spark, folder)[0]
+    parts = [("user", factors.best_items_for_users), ("item", factors.best_users_for_items)]
+    rows = [search(model)[1].select(F.lit(kind).alias("kind"), "pairs", "scored", (F.col("scored") / F.col("pairs")).alias("share"))
+            for kind, search in parts]
+    return rows[0].unionByName(rows[1])
+
+
+@query
+def largest_products(spark, folder):
+    """The ten vectors of largest inner product with each vector."""
+    vectors = tables.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    best, _ = products.largest_products(vectors, vectors, 10)
+    return best.withColumn("score", F.round("score", 5))
+
+
 @query
 def first_ids(spark, folder):
     return factors.first_ids(tables.ratings(spark, folder), "userId", 3)

@@ -53,10 +53,19 @@ def test_any_number_of_queries(spark, folder):
     assert got == best
 
 
-def test_walkers_are_sent_to_the_edges(spark, folder):
+def test_walkers_are_sent_to_the_edges(spark, folder, monkeypatch):
     from tastegraph.operators import walks
 
-    plan = walks.random_walks(tables.ratings(spark, folder), 500, 6)._jdf.queryExecution().executedPlan().toString()
-    steps = plan.count("BroadcastHashJoin")
-    assert steps >= 5 and "SortMergeJoin" not in plan.split("BroadcastHashJoin")[1]
+    plans, taken = [], walks._step
 
+    def step(store, frontier, send):
+        moved = taken(store, frontier, send)
+        plans.append(moved._jdf.queryExecution().executedPlan().toString())
+        return moved
+
+    monkeypatch.setattr(walks, "_step", step)
+    assert walks.random_walks(tables.ratings(spark, folder), 500, 6).count() == 500
+    assert len(plans) == 5
+    for plan in plans:
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+        assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
