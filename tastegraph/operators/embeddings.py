@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Word2Vec, Word2VecModel
@@ -10,8 +13,12 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegraph.functions.columns import draw
+from tastegraph.operators.blocks import BLOCK_ROWS as BUCKET_ROWS
+from tastegraph.operators.blocks import block_pairs, dealt
 from tastegraph.operators.graph import SEQUENCE_ROWS, user_sequences
 from tastegraph.operators.walks import random_walks, rating_metapath_walks
+from tastegraph.session import durable
 
 # Items and queries that meet in one task, about.
 SHARD_ROWS, BLOCK_ROWS = 50_000, 1_000
@@ -133,3 +140,99 @@ def lsh_neighbors(items: DataFrame, query: list[float], k: int = 5, item: str =
     model, hashed = fit_lsh(items, **options)
     found = model.approxNearestNeighbors(hashed, DenseVector(query), k, distCol="distance")
     return found.select(item, "distance")
+
+
+def vector_classes(items: DataFrame, item: str = "id", vector: str = "vector") -> DataFrame:
+    """(item, classId, members): items with equal vectors, named by the smallest id. Items without a vector are left out."""
+    known = items.select(item, vector).dropna()
+    named = known.groupBy(vector).agg(F.min(item).alias("classId"), F.count(F.lit(1)).alias("members"))
+    return known.join(named, vector).select(item, "classId", "members")
+
+
+def _collision(distance: float, bucket_length: float) -> float:
+    """Probability that one random projection puts two vectors at this distance into the same bucket."""
+    c = bucket_length / distance
+    return math.erf(c / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * c) * (1 - math.exp(-c * c / 2))
+
+
+def _true_pairs(items: DataFrame, asked: DataFrame, max_distance: float, item: str, vector: str) -> DataFrame:
+    """(low, high) of all pairs of an asked item and any other item within the distance; few items are asked."""
+    sample = asked.select(item, vector).toPandas()
+    names, rows = sample[item].to_numpy(), np.stack(sample[vector].to_numpy()).astype(float) if len(sample) else None
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own, mine = batch[item].to_numpy(), np.stack(batch[vector].to_numpy()).astype(float)
+            for name, row in zip(names, rows, strict=True):
+                hit = own[(np.sqrt(((mine - row) ** 2).sum(axis=1)) <= max_distance) & (own != name)]
+                yield pd.DataFrame({"low": np.minimum(hit, name), "high": np.maximum(hit, name)})
+
+    kind = dict(items.dtypes)[item]
+    if rows is None:
+        return items.sparkSession.createDataFrame([], f"low {kind}, high {kind}")
+    return items.select(item, vector).mapInPandas(near, f"low {kind}, high {kind}").distinct()
+
+
+def similar_pairs(
+    items: DataFrame,
+    max_distance: float,
+    recall: float = 0.95,
+    width: int = 4,
+    bucket_length: float | None = None,
+    audit: int = 200,
+    block_rows: int = BUCKET_ROWS,
+    item: str = "id",
+    vector: str = "vector",
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All items near each other by Euclidean distance: classes, pairs of classes, report.
+
+    Items with equal vectors form a class (``vector_classes``) and only classes meet, so many copies make no pairs. Two classes
+    meet if all ``width`` projections of one of the hash tables put them into the same bucket; large buckets are dealt into
+    blocks. There are as many tables as give ``recall`` for pairs at the full distance. Distances of what met are exact. Pairs
+    are (low, high, distance) of integral ids, each once.
+
+    ``audit`` classes, chosen by a hash of their id, are compared with all others. While less of their true pairs than
+    ``recall`` was found, the tables are doubled; when they would be more than 16 times the first number, all classes are
+    compared block by block. The report has one row: (classes, tables, true_pairs, found_pairs), tables 0 for the last way.
+    """
+    classes = durable(vector_classes(items, item, vector))
+    leaders = durable(items.join(classes.where(F.col(item) == F.col("classId")).select(item), item, "left_semi").select(item, vector).dropna())
+    count, spark = leaders.count(), items.sparkSession
+    length = bucket_length or 2 * max_distance
+    chance = _collision(max_distance, length) ** width
+    first = tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance))) if chance < 1 else 1
+    asked = leaders.orderBy(draw("audit", F.col(item)), item).limit(audit)
+    truth = durable(_true_pairs(leaders, asked, max_distance, item, vector))
+    true_pairs = truth.count()
+    while True:
+        if not count or tables > 16 * first:
+            tables, hashed = 0, leaders.withColumn("buckets", F.array(F.lit(0).cast("bigint")))
+        else:
+            _, hashed = fit_lsh(leaders, length, tables * width, seed, vector)
+            parts = F.transform("bucketId", lambda v: vector_to_array(v)[0].cast("bigint"))
+            keys = [F.xxhash64(F.slice("_parts", t * width + 1, width)) for t in range(tables)]
+            hashed = hashed.withColumn("_parts", parts).select(item, vector, F.array(*keys).alias("buckets"))
+        hashed = durable(hashed)
+        pairs = durable(_met_pairs(hashed, max_distance, block_rows, item, vector))
+        found = truth.join(pairs, ["low", "high"], "left_semi").count()
+        if not tables or found >= recall * true_pairs:
+            break
+        tables *= 2
+    report = spark.createDataFrame([(count, tables, true_pairs, found)], "classes long, tables int, true_pairs long, found_pairs long")
+    return classes, pairs, report
+
+
+def _met_pairs(hashed: DataFrame, max_distance: float, block_rows: int, item: str, vector: str) -> DataFrame:
+    """(low, high, distance) of the rows that share a bucket and are near enough; a pair counts in the first table it shares."""
+    spread = hashed.select(
+        F.col(item).alias("id"), F.col(vector).cast("array<double>").alias("v"), "buckets", F.posexplode("buckets").alias("table", "bucket"))
+    left, right = block_pairs(dealt(spread, ["table", "bucket"], "id", block_rows))
+    a, b = left.alias("a"), right.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("table", "bucket", "low", "high")]
+    once = (F.col("a.low") < F.col("a.high")) | (F.col("a.id") < F.col("b.id"))
+    shared = F.array_position(F.zip_with("a.buckets", "b.buckets", lambda x, y: x == y), F.lit(True)) == F.col("a.table") + 1
+    distance = F.sqrt(F.aggregate(F.zip_with("a.v", "b.v", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    met = a.join(b, same[0] & same[1] & same[2] & same[3] & once & shared)
+    near = met.select(F.least("a.id", "b.id").alias("low"), F.greatest("a.id", "b.id").alias("high"), distance.alias("distance"))
+    return near.where(F.col("distance") <= max_distance)

@@ -206,6 +206,12 @@ points AS (
          least(greatest(s, 1e-15), 1 - 1e-15) AS p FROM curve)"""
 
 
+_near = """WITH n AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS l
+  FROM embeddings),
+v AS (SELECT id, [x / l FOR x IN e] AS e FROM n WHERE l > 0),
+near AS (SELECT * FROM (SELECT a.id AS low, b.id AS high, list_distance(a.e, b.e) AS distance FROM v a JOIN v b ON a.id < b.id) WHERE distance <= 1.0954)
+"""
+
 _classes = (
     RATINGS,
     """house AS (
@@ -369,6 +375,10 @@ def oracle_sql() -> dict[str, str]:
               FROM embeddings q JOIN firsts USING (vec_id) JOIN embeddings e ON e.vec_id <> q.vec_id)
             SELECT query, id, round(c, 6) AS cos, CAST(rank AS INT) AS rank FROM (
               SELECT *, row_number() OVER (PARTITION BY query ORDER BY c DESC, id) AS rank FROM scored) WHERE rank <= 20""",
+        "lsh_similarity_join": _near + "SELECT low, high, round(distance, 6) AS distance FROM near",
+        "lsh_join_audit": _near + f""", asked AS (SELECT id FROM v ORDER BY {_draw("'audit'", 'id')}, id LIMIT 200)
+            SELECT (SELECT count(DISTINCT e) FROM v) AS classes, true AS enough,
+            (SELECT count(*) FROM near WHERE low IN (SELECT id FROM asked) OR high IN (SELECT id FROM asked)) AS true_pairs""",
         "largest_products": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
             scored AS (SELECT a.vec_id AS asker, b.vec_id AS item, list_inner_product(a.e, b.e) AS s FROM v a, v b)
             SELECT asker, CAST(rank AS INT) AS rank, item, round(s, 5) AS score FROM (

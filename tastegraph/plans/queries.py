@@ -646,6 +646,34 @@ def lsh_neighbors(spark, folder):
 # ---- factors -----------------------------------------------------------------------------------
 
 
+# Distance of two unit vectors whose cosine is 0.4.
+NEAR = 1.0954
+
+
+def _similar_vectors(spark, folder):
+    """All embeddings at unit length, joined with each other."""
+    def make():
+        length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+        unit = tables.table(spark, folder, "embeddings").withColumn("length", length).where("length > 0").select(
+            F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double") / F.col("length")).alias("vector"))
+        return embeddings.similar_pairs(unit, NEAR, recall=0.9999, width=2)
+
+    return _shared(spark, folder, "similar vectors", make)
+
+
+@query
+def lsh_similarity_join(spark, folder):
+    """All pairs of embeddings near each other, found by shared hash buckets."""
+    return _similar_vectors(spark, folder)[1].withColumn("distance", F.round("distance", 6))
+
+
+@query
+def lsh_join_audit(spark, folder):
+    """What the join's audit counted, and whether the share of true pairs found is at least 0.9."""
+    report = _similar_vectors(spark, folder)[2]
+    return report.select("classes", "true_pairs", (F.col("found_pairs") >= 0.9 * F.col("true_pairs")).alias("enough"))
+
+
 def _als(spark, folder):
     def make():
         train, test = split.random_split(tables.ratings(spark, folder), ["userId", "movieId"], 0.8, SEED)
