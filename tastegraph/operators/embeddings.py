@@ -228,7 +228,9 @@ def _met_pairs(hashed: DataFrame, max_distance: float, block_rows: int, item: st
     spread = hashed.select(
         F.col(item).alias("id"), F.col(vector).cast("array<double>").alias("v"), "buckets", F.posexplode("buckets").alias("table", "bucket"))
     left, right = block_pairs(dealt(spread, ["table", "bucket"], "id", block_rows))
-    a, b = left.alias("a"), right.alias("b")
+    # the rows are few and their pairs many: keep all partitions
+    parts = int(hashed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = (side.repartition(parts, "table", "bucket", "low", "high").alias(name) for side, name in ((left, "a"), (right, "b")))
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("table", "bucket", "low", "high")]
     once = (F.col("a.low") < F.col("a.high")) | (F.col("a.id") < F.col("b.id"))
     shared = F.array_position(F.zip_with("a.buckets", "b.buckets", lambda x, y: x == y), F.lit(True)) == F.col("a.table") + 1

@@ -375,6 +375,8 @@ def oracle_sql() -> dict[str, str]:
               FROM embeddings q JOIN firsts USING (vec_id) JOIN embeddings e ON e.vec_id <> q.vec_id)
             SELECT query, id, round(c, 6) AS cos, CAST(rank AS INT) AS rank FROM (
               SELECT *, row_number() OVER (PARTITION BY query ORDER BY c DESC, id) AS rank FROM scored) WHERE rank <= 20""",
+        "read_samples_with_rejects": _with(*_fer()) + """SELECT CASE WHEN "userId" % 50 = 0 THEN 'malformed'
+            WHEN "userId" % 7 = 0 THEN 'no label' ELSE 'kept' END AS kind, count(*) AS n FROM fer GROUP BY 1""",
         "lsh_similarity_join": _near + "SELECT low, high, round(distance, 6) AS distance FROM near",
         "lsh_join_audit": _near + f""", asked AS (SELECT id FROM v ORDER BY {_draw("'audit'", 'id')}, id LIMIT 200)
             SELECT (SELECT count(DISTINCT e) FROM v) AS classes, true AS enough,

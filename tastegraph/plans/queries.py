@@ -16,7 +16,8 @@ from tastegraph.functions import columns as fn
 from tastegraph.plans import tables
 from tastegraph.session import shared_folder
 from tastegraph.sources import (
-    SAMPLES, read_movies, read_ratings, read_samples, write_embeddings, write_samples,
+    SAMPLES, read_movies, read_ratings, read_samples, read_samples_with_rejects, read_user_item_records, write_embeddings,
+    write_samples,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,8 +88,25 @@ def read_samples_(spark, folder):
 
 
 @query
-def read_user_item_records(spark, folder):
-    return tables.user_item_records(spark, folder)
+def read_user_item_records_(spark, folder):
+    """Records written as CSV, among other columns and in another order, and read back from the path."""
+    path = _run_path(spark, "records-csv")
+    records = tables.user_item_records(spark, folder)
+    write_samples(records.select(F.lit("x").alias("more"), *reversed(records.columns)), path)
+    return read_user_item_records(spark, path)
+
+
+@query
+def read_samples_with_rejects_(spark, folder):
+    """Samples and rejects per reason of a CSV in which some ids are no numbers and some labels are missing."""
+    path = _run_path(spark, "samples-bad")
+    spoilt = fer_table(spark, folder).withColumns({
+        "movieId": F.concat(F.when(F.col("userId") % 50 == 0, "x").otherwise(""), F.col("movieId")),
+        "label": F.when(F.col("userId") % 7 != 0, F.col("label"))})
+    write_samples(spoilt, path)
+    good, rejects = read_samples_with_rejects(spark, path)
+    kinds = good.select(F.lit("kept").alias("kind")).unionByName(rejects.select(F.col("reason").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import GENRES
 from tastegraph.session import shared_folder
-from tastegraph.sources import MOVIES, RATINGS, read_user_item_records
+from tastegraph.sources import MOVIES, RATINGS, typed_user_item_records
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -73,7 +73,7 @@ def user_item_records(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     rated = ratings(spark, folder)
     joined = rated.join(customer, F.col("userId") == F.col("c_custkey"))
-    return read_user_item_records(joined.select(
+    return typed_user_item_records(joined.select(
         F.col("movieId").alias("movie_id"),
         F.col("userId").alias("user_id"),
         F.col("rating").alias("user_rating"),
