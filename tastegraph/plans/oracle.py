@@ -293,6 +293,10 @@ def oracle_sql() -> dict[str, str]:
         "time_quantile": _with(RATINGS) + """SELECT min(timestamp) AS quantile FROM (
             SELECT timestamp, sum(count(*)) OVER (ORDER BY timestamp) AS upto FROM ratings GROUP BY timestamp)
             WHERE upto >= (SELECT ceil(0.8 * count(*)) FROM ratings)""",
+        "time_quantile_sketch": _with(RATINGS) + """SELECT CAST(unnest([0.05, 0.2, 0.5, 0.8, 0.95]) AS DOUBLE) AS share, true AS within,
+            (SELECT count(*) FROM ratings) AS rows, (SELECT count(DISTINCT year(to_timestamp(timestamp))) FROM ratings) AS parts""",
+        "quantile_bucket_sketch": _with(RATINGS)
+        + 'SELECT "movieId", count(*) AS "ratingCount", true AS within FROM ratings GROUP BY "movieId"',
         "time_split": _with(RATINGS) + """SELECT *, CASE WHEN timestamp <= (SELECT min(timestamp) FROM (
             SELECT timestamp, sum(count(*)) OVER (ORDER BY timestamp) AS upto FROM ratings GROUP BY timestamp)
             WHERE upto >= (SELECT ceil(0.8 * count(*)) FROM ratings)) THEN 'train' ELSE 'test' END AS split FROM ratings""",

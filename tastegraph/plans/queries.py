@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.operators import (
-    embeddings, encode, factors, graph, item_cf, metrics, products, rankers, samples, split, walks,
+    embeddings, encode, factors, graph, item_cf, metrics, products, rankers, samples, sketches, split, walks,
 )
 from tastegraph.functions import columns as fn
 from tastegraph.plans import tables
@@ -295,6 +295,38 @@ def time_quantile_approx(spark, folder):
     return split.quantile(tables.ratings(spark, folder), "timestamp", 0.8, error=0.05)
 
 
+@query
+def time_quantile_sketch(spark, folder):
+    """Cuts of the rating times from a store of sketches per year: is each one's exact rank within a hundredth of its share?"""
+    rated = tables.ratings(spark, folder)
+    path = _run_path(spark, "time-sketches")
+    year = F.year(F.timestamp_seconds("timestamp"))
+    for part in (rated.where(year < 1999), rated.where(year >= 1999)):  # the later years are added to what is there
+        sketches.add_parts(part, "timestamp", year, path)
+    shares = [0.05, 0.2, 0.5, 0.8, 0.95]
+    store = spark.read.parquet(path)
+    exact = sketches.share_below(rated, "timestamp", sketches.cuts(store, shares))
+    rows = [(share, below - 0.01 <= share <= upto + 0.01) for share, (below, upto) in zip(shares, exact, strict=True)]
+    held = store.agg(F.sum("rows"), F.count("part")).first()
+    return spark.createDataFrame([(*row, *held) for row in rows], "share double, within boolean, rows long, parts long")
+
+
+@query
+def quantile_bucket_sketch(spark, folder):
+    """Quantile buckets of rating counts by sketch: does each bucket agree with the value's exact rank to a hundredth?"""
+    stats = samples.movie_rating_stats(tables.ratings(spark, folder)).select("movieId", "ratingCount")
+    held = sketches.sketched(stats, "ratingCount")
+    cuts = sketches.cuts(held, [i / 100 for i in range(101)])
+    exact = sketches.share_below(stats, "ratingCount", sorted(set(cuts)))
+    bucket = sketches.bucketed(stats, "ratingCount", "bucket", held)
+    inner = sorted(set(cuts[1:-1]))
+    wanted = {c: ([s / 100 for s, x in enumerate(cuts) if x == c][0], [s / 100 for s, x in enumerate(cuts) if x == c][-1]) for c in cuts}
+    good = [(float(i + 1), all(b - 0.01 <= s <= u + 0.01 for s in wanted[c]))
+            for i, (c, (b, u)) in enumerate((c, e) for c, e in zip(sorted(set(cuts)), exact, strict=True) if c in inner)]
+    edges = spark.createDataFrame([(0.0, True), *good], "bucket double, within boolean")
+    return bucket.join(F.broadcast(edges), "bucket").select("movieId", "ratingCount", "within")
+
+
 @query
 def time_split(spark, folder):
     train, test = split.time_split(tables.ratings(spark, folder), 0.8)
