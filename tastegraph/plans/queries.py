@@ -24,8 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 MIN_COS = 0.2
-# Codes of each categorical field where all pairs of fields are crossed.
-CROSS_FIELD_BUCKETS = 32
+# Codes of each categorical field of the rating records, in every kind of crosses.
+CROSS_FIELD_BUCKETS = 4_096
+# Codes of the ids in the rankers; all ids are hashed into them.
+ID_CODES = {"hashed": True, "movie_buckets": 8_192, "user_buckets": 30_001}
 SEED = 42
 
 
@@ -835,7 +837,7 @@ def _ranker_sets(spark, folder):
 
     def make():
         train, test = split.time_split(fer_table(spark, folder), 0.8)
-        return rankers.ranker_features(train), rankers.ranker_features(test)
+        return rankers.ranker_features(train, **ID_CODES), rankers.ranker_features(test, **ID_CODES)
 
     return _shared(spark, folder, "ranker-sets", make)
 

@@ -112,10 +112,25 @@ def test_crosses(spark, folder):
     runs = rankers.repeated_runs(train, test, ["none", "low_rank"], 2, iterations=5)
     assert runs.count() == 4 and runs.filter("rmse <= 0").isEmpty()
     full = rankers.rating_cross_regression(train, "full", iterations=3)
-    assert full.stages[-1].numFeatures == 6 * 16 + 15 * 16 * 16
+    assert full.stages[-1].numFeatures == 6 * 16 + rankers.CROSS_SPACE
     strength = rankers.pair_interaction_strength(rankers.rating_cross_regression(train, "low_rank", iterations=5), 16)
     rows = {(r.feature1, r.feature2): r.strength for r in strength.collect()}
     assert len(rows) == 36
     assert rows["movie_id", "user_id"] == pytest.approx(rows["user_id", "movie_id"])
     with pytest.raises(ValueError):
         rankers.rating_cross_regression(train, "other")
+
+
+def test_crosses_keep_all_codes_in_a_sparse_space(spark, folder):
+    from tastegraph.plans import tables
+
+    records = rankers.record_features(tables.user_item_records(spark, folder), 4096)
+    sizes = {}
+    for crosses in ("none", "full", "low_rank"):
+        model = rankers.rating_cross_regression(records, crosses, iterations=2, rank=4)
+        first = model.transform(records).select("features", "user_idCode").first()
+        sizes[crosses] = first.features.size
+        base = {int(i) for i in first.features.indices if i < 6 * 4096}
+        assert len(base) == 6 and 4096 + first.user_idCode in base  # the same codes in every kind of crosses
+    assert sizes == {"none": 6 * 4096, "full": 6 * 4096 + rankers.CROSS_SPACE, "low_rank": 6 * 4096}
+    assert records.select("user_idCode").distinct().count() > 140
