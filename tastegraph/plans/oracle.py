@@ -325,6 +325,12 @@ def oracle_sql() -> dict[str, str]:
         "user_sequences": _with(RATINGS) + """SELECT "userId", CAST(0 AS BIGINT) AS part,
             string_agg(CAST("movieId" AS VARCHAR), ' ' ORDER BY timestamp, "movieId") AS "movieIdStr"
             FROM ratings WHERE rating >= 3.5 GROUP BY "userId" """,
+        "similar_items_pages": _with(RATINGS, _cosines(0.2)) + """SELECT "movieId", page, string_agg(CAST("movieIdTail" AS VARCHAR), ' ' ORDER BY k) AS similar
+            FROM (SELECT *, (k - 1) // 3 AS page FROM (
+              SELECT *, row_number() OVER (PARTITION BY "movieId" ORDER BY cos DESC, "movieIdTail") AS k FROM both_ways)) GROUP BY "movieId", page""",
+        "user_sequences_parts": _with(RATINGS) + """SELECT "userId", part, string_agg(CAST("movieId" AS VARCHAR), ' ' ORDER BY k) AS "movieIdStr"
+            FROM (SELECT *, (k - 1) // 4 AS part FROM (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY timestamp, "movieId") AS k
+            FROM ratings WHERE rating >= 3.5)) GROUP BY "userId", part""",
         "consecutive_pairs": _with(RATINGS, PAIRS) + "SELECT * FROM consecutive",
         "edge_counts": _with(RATINGS, PAIRS) + "SELECT * FROM edges",
         "transition_probabilities": _with(RATINGS, PAIRS)

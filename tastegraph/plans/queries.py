@@ -440,9 +440,23 @@ def item_cf_(spark, folder):
     return lists.select("movieId", "page", F.array_join(F.sort_array(text), " ").alias("simList"))
 
 
+@query
+def similar_items_pages(spark, folder):
+    """Similar-item lists in pages of three ranks, best first."""
+    pages = item_cf.similar_items(item_cf.pair_product_sums(tables.ratings(spark, folder), MIN_COS), page_rows=3)
+    return pages.select("movieId", "page", F.array_join("simList.movieIdTail", " ").alias("similar"))
+
+
 # ---- graphs and walks --------------------------------------------------------------------------
 
 
+@query
+def user_sequences_parts(spark, folder):
+    """Histories in parts of four movies."""
+    sequences = graph.sequence_text(graph.user_sequences(tables.ratings(spark, folder), part_rows=4))
+    return sequences.select("userId", "part", "movieIdStr")
+
+
 @query
 def user_sequences(spark, folder):
     sequences = graph.sequence_text(graph.user_sequences(tables.ratings(spark, folder)))
