@@ -10,13 +10,16 @@ import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import draw
 from tastegraph.operators.blocks import BLOCK_ROWS as BUCKET_ROWS
 from tastegraph.operators.blocks import block_pairs, dealt
 from tastegraph.operators.graph import SEQUENCE_ROWS, user_sequences
+from tastegraph.operators.ordering import HOT_ROWS, over_history
+from tastegraph.operators.samples import USER_ORDER, positive_ratings
 from tastegraph.operators.walks import random_walks, rating_metapath_walks
 from tastegraph.session import durable
 
@@ -64,6 +67,48 @@ def metapath_embeddings(ratings: DataFrame, movies: DataFrame, paths=None, seed:
     return fit_word2vec(rating_metapath_walks(ratings, movies, paths, seed), "nodes", seed=seed, **options)
 
 
+def window_pairs(ratings: DataFrame, window: int = 5, min_rating: float = 3.5, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """How often two liked movies stand within ``window`` places of each other in a user's history: (src, dst, cnt), both ways.
+
+    Each movie looks back at most ``window`` rows, so a long history is cut like any other (``over_history``).
+    """
+
+    def add(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        return rows.withColumn("_near", F.array(*[F.lag("movieId", k).over(order) for k in range(1, window + 1)]))
+
+    liked = positive_ratings(ratings, min_rating).select("userId", "movieId", "timestamp")
+    seen = over_history(liked, "userId", USER_ORDER, window, add, hot_rows)
+    pairs = seen.select(F.col("movieId").alias("dst"), F.explode("_near").alias("src")).filter("src is not null and src <> dst")
+    both = F.array(F.struct(F.col("src").alias("src"), F.col("dst").alias("dst")), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return pairs.select(F.inline(both)).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def cooccurrence_vectors(
+    pairs: DataFrame, size: int = 10, iterations: int = 10, min_count: int = 1, alpha: float = 4.0, reg: float = 0.05, seed: int = 42
+) -> DataFrame:
+    """(id, vector): item vectors from pair counts, by implicit ALS on their logarithms.
+
+    Unlike ``fit_word2vec`` no vocabulary and no vectors reach the driver: the factor table stays distributed, whatever the
+    number of items. Ids are 32-bit. Only pairs seen ``min_count`` times and more count.
+    """
+    kept = pairs.filter(F.col("cnt") >= min_count).select(
+        F.col("src").cast("int").alias("src"), F.col("dst").cast("int").alias("dst"), F.log1p("cnt").cast("float").alias("weight"))
+    model = ALS(
+        rank=size, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="src", itemCol="dst", ratingCol="weight", seed=seed,
+    ).fit(kept)
+    return model.itemFactors.select(F.col("id").cast("string").alias("id"), F.col("features").alias("vector"))
+
+
+def neighbour_overlap(first: DataFrame, second: DataFrame, k: int = 20) -> DataFrame:
+    """(items, overlap): of the ``k`` nearest items in one table the mean share that the other one names too, over common items."""
+    common = first.select("id").join(second.select("id"), "id")
+    lists = [nearest_by_cosine(t, t, k).select("query", "id") for t in (durable(t.join(common, "id", "left_semi")) for t in (first, second))]
+    shared = lists[0].join(lists[1], ["query", "id"]).agg(F.count(F.lit(1)).alias("both"))
+    count = common.count()
+    each = max(min(k, count - 1), 1)
+    return shared.select(F.lit(count).cast("bigint").alias("items"), (F.col("both") / F.lit(max(count * each, 1))).alias("overlap"))
+
+
 def embedding_table(model: Word2VecModel) -> DataFrame:
     """(id, vector) with the vector as ``array<float>``."""
     return model.getVectors().select(F.col("word").alias("id"), vector_to_array("vector", "float32").alias("vector"))

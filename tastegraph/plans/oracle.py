@@ -331,6 +331,10 @@ def oracle_sql() -> dict[str, str]:
         "user_sequences_parts": _with(RATINGS) + """SELECT "userId", part, string_agg(CAST("movieId" AS VARCHAR), ' ' ORDER BY k) AS "movieIdStr"
             FROM (SELECT *, (k - 1) // 4 AS part FROM (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY timestamp, "movieId") AS k
             FROM ratings WHERE rating >= 3.5)) GROUP BY "userId", part""",
+        "window_pairs": _with(RATINGS, """liked AS (
+            SELECT "userId", "movieId", row_number() OVER (PARTITION BY "userId" ORDER BY timestamp, "movieId") AS k FROM ratings WHERE rating >= 3.5)""")
+        + """SELECT a."movieId" AS src, b."movieId" AS dst, count(*) AS cnt FROM liked a JOIN liked b
+            ON a."userId" = b."userId" AND a."movieId" <> b."movieId" AND abs(a.k - b.k) <= 5 GROUP BY ALL""",
         "consecutive_pairs": _with(RATINGS, PAIRS) + "SELECT * FROM consecutive",
         "edge_counts": _with(RATINGS, PAIRS) + "SELECT * FROM edges",
         "transition_probabilities": _with(RATINGS, PAIRS)

@@ -674,6 +674,26 @@ def item2vec_synonyms(spark, folder):
     return embeddings.synonyms(model, spark.createDataFrame([("158",)], "id string"))
 
 
+@query
+def window_pairs(spark, folder):
+    """Counts of liked movies within five places of each other."""
+    return embeddings.window_pairs(tables.ratings(spark, folder))
+
+
+@query
+def cooccurrence_vectors(spark, folder):
+    """Item vectors from these counts, without a token table on the driver."""
+    return embeddings.cooccurrence_vectors(embeddings.window_pairs(tables.ratings(spark, folder)))
+
+
+@query
+def embedding_mode_overlap(spark, folder):
+    """Share of an item's 20 neighbours that both kinds of item vectors name."""
+    rated = tables.ratings(spark, folder)
+    walked = embeddings.embedding_table(embeddings.item2vec(rated))
+    return embeddings.neighbour_overlap(walked, embeddings.cooccurrence_vectors(embeddings.window_pairs(rated)))
+
+
 @query
 def deepwalk_embeddings(spark, folder):
     return embeddings.embedding_table(embeddings.deepwalk_embeddings(tables.ratings(spark, folder)))
