@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 
 import numpy as np
@@ -44,35 +45,94 @@ def test_query_rows(spark, folder):
         digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
         assert (got[r.doc_id].base_sha256, got[r.doc_id].n_assign) == (digest, sum(k == "assign" for k, _, _ in base))
         assert all(f"{k}:{s}:{e}" in got[r.doc_id].spans.split(",") for k, s, e in base)
-        assert got[r.doc_id].n_field == 0
+    clean = [r for r in got.values() if not r.n_assign + r.n_access + r.n_hex]
+    assert sum(r.n_field > 0 for r in clean) <= len(clean) / 100
 
 
 def test_field_finds_what_patterns_miss(field):
     hits = misses = false = 0
-    for text, truth in secrets.made_up(seed=99, lines=80):
-        found = [s[1:] for s in secrets.spans(field, text) if s[0] == secrets.ADDED]
+    for text, truth in secrets.made_up(seed=99, lines=150):
+        found = secrets.field_spans(field, text)
         hits += bool(truth) and found == truth
         misses += bool(truth) and found != truth
         false += not truth and bool(found)
-    assert hits >= 75 and misses <= 5 and false <= 2
+    assert hits >= 143 and misses <= 7 and false <= 2
+
+
+@pytest.mark.parametrize(("lead", "secret", "tail"), [
+    ("Authorization: Bearer ", "qWErtYuiOPasDFghJKlzXCvbNMqwe", ""), ("pwd: ", "Tr0ub4!dor&3xy", ""), ("use ", "sk_live_abcdEFGHijklMNOPqrstUVWX", " now"),
+    ("key = ", "Zk9vQ2xh", ""), ("passphrase: ", "correct horse battery staple", "\nand then a new line"),
+])
+def test_digitless_short_punctuated_and_long_secrets(field, lead, secret, tail):
+    """Letters only, marks inside, eight characters, several words: chains of one to eleven tokens."""
+    text = f"{lead}{secret}{tail}"
+    assert secrets.field_spans(field, text) == [(len(lead), len(lead) + len(secret))]
+
+
+@pytest.mark.parametrize("text", [
+    "The key to success is a token of love.", "password: see the manual", "He told her a secret: never give up", "Call +1-555-0199123 or write to jane.doe@mail.example.com",
+    "https://www.example.org/page?id=20", "getElementById and JavaScript, iPhone 15", "123e4567-e89b-12d3-a456-426614174000", "Größe über 20 %, naïve café",
+])
+def test_harmless_lines_stay(field, text):
+    assert secrets.field_spans(field, text) == []
+
+
+def random_text(draw):
+    words = ["plain", "words", "Bearer", "key", "=", ":", "a1B2", "x!y", "\n", "Zk9vQ2xh", "the", "of", "pwd:", "no", "more", "here,", "é", "Ab"]
+    out = []
+    for _ in range(draw.randrange(5)):
+        out += [draw.choice(words) + draw.choice([" ", " ", "", "  "]) for _ in range(draw.randrange(8))]
+        out += [draw.choice(["plain", "words", "of", "the", "more"]) + " " for _ in range(draw.choice([0, 3, 10, 80]))]
+    return "".join(out)
+
+
+def test_skipped_stretches_change_nothing(field):
+    draw = random.Random(4)
+    names = sorted(field.weights)
+    shy = {n: (w[0] + 1.5 * n.startswith("any="), *w[1:]) for n, w in field.weights.items()}
+    fields = [field, secrets.Field(shy, field.step)]
+    for k in range(6):  # any weights must obey the bounds, not only trained ones
+        weights = {n: (draw.gauss(0.5, 1), draw.gauss(0, 1), draw.gauss(0, 1)) for n in names}
+        weights["any="] = (4.0 + 2 * k, 0.0, 0.0)
+        fields.append(secrets.Field(weights, np.random.default_rng(k).normal(size=(4, 3, 3))))
+    skipped = 0
+    for _ in range(60):
+        text = random_text(draw)
+        for f in fields:
+            assert secrets.field_spans(f, text) == secrets.field_spans(f, text, skip=False)
+            words = secrets.CHUNK.findall(text)
+            skipped += len(words) - sum(b - a for a, b in f.bounds.stretches(words))
+    assert skipped > 1_000
+
+
+def test_words_of_letters_share_their_bounds(field):
+    for word in ["plain", "Word,", "(UPPER)", "a", "É", '"über!"', "keys", "xoxo", "ª", "token", "mIxed", "don't", "x" * 41, "end."]:
+        assert field.bounds[word] == field.bounds.loss(word)
 
 
-def test_viterbi_is_exact():
+def test_viterbi_and_marginals_are_exact():
     draw = np.random.default_rng(1)
-    for _ in range(60):
+    for _ in range(40):
         n = int(draw.integers(1, 6))
-        scores, step = draw.normal(size=(n, 3)), draw.normal(size=(3, 3))
+        scores, step = draw.normal(size=(n, 3)), draw.normal(size=(4, 3, 3))
+        step[secrets.BEYOND] = 0
+        meets, end = draw.integers(0, 3, n).tolist(), int(draw.integers(0, 3))
 
         def value(tags):
             chain = [0, *tags, 0]
-            if any(b == 2 and a == 0 for a, b in zip(chain, chain[1:], strict=False)):
+            if any(b == 2 and a == 0 for a, b in itertools.pairwise(chain)):
                 return -np.inf
-            return sum(scores[k, t] for k, t in enumerate(tags)) + sum(step[a, b] for a, b in zip(chain, chain[1:], strict=False))
-
-        best = max(itertools.product(range(3), repeat=n), key=value)
-        assert secrets.viterbi(scores, step) == list(best)
-        tags, _ = secrets.marginals(scores, step)
-        assert np.allclose(tags.sum(axis=1), 1)
+            return sum(scores[k, t] for k, t in enumerate(tags)) + sum(step[g, a, b] for g, (a, b) in zip([*meets, end], itertools.pairwise(chain), strict=True))
+
+        every = list(itertools.product(range(3), repeat=n))
+        assert secrets.viterbi(scores.tolist(), meets, end, step) == list(max(every, key=value))
+        chance = np.exp([value(t) for t in every])
+        chance /= chance.sum()
+        want = np.array([[sum(p for p, t in zip(chance, every, strict=True) if t[k] == tag) for tag in range(3)] for k in range(n)])
+        padded = np.full((1, n + 2, 3), secrets.NEVER)  # one window, two tokens behind its end
+        padded[0, :n], padded[0, n:, 0] = scores, 0
+        tags, expected = secrets.marginals(padded, np.array([[*meets, end, secrets.BEYOND]]), step)
+        assert np.allclose(tags[0, :n], want, atol=1e-6) and np.isclose(expected[:secrets.BEYOND].sum(), n + 1)
 
 
 def test_added_spans_never_meet_base_spans(field):
