@@ -97,7 +97,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """(id, size, source_size, target, taken, copies): how many words of each document the mix takes.
 
     ``copies`` counts how often the document is in the mix and ``taken`` is that many times its size; documents
-    without words have copies and take nothing. A null text has size 0; null sources form one source, the last; rows
+    without words have at most ``most`` copies and take nothing. A null text has size 0; null sources form one source, the last; rows
     with equal ids are different documents unless their texts are equal too, when either may come first. The document
     at the end of a budget is taken if at least half of it fits. Keys are hashes of seed, id and text, so reruns
     agree. With ``carry`` a struct column ``row`` holds all columns of the document, apart from the others, so that
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     inside = Window.partitionBy("source", "range").orderBy("key", "draw", "id").rowsBetween(Window.unboundedPreceding, 0)
     met = keyed.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("range") == F.col("plan_range")))
     reached = F.col("before") + F.sum("size").over(inside) - F.col("size") / 2
-    picked = reached <= F.col("target") - F.col("epochs") * F.col("source_size")
+    picked = (F.col("epochs") < most) & (reached <= F.col("target") - F.col("epochs") * F.col("source_size"))
     copies = met.withColumn("copies", F.col("epochs") + picked.cast("int"))
     return copies.select(
         F.col("id").alias(id_column), "size", "source_size", "target",

@@ -58,6 +58,12 @@ def test_no_epoch_is_left_out(spark):
     assert all(r.taken >= r.size for r in got if r.target >= r.source_size)
 
 
+def test_no_document_is_taken_more_often_than_the_cap(spark):
+    rows = [(i, "" if i < 6 else "a b c", "small", 1, "x") for i in range(9)] + [(100 + i, "w " * 50, "large", 1, "x") for i in range(9)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert max(r.copies for r in got) == 2 and all(r.copies <= 2 for r in got if r.size == 0)
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(None, None, None, 1, "x"), (1, "", None, 1, "x"), (1, "", None, 1, "x")], SCHEMA)
     assert sorted(r.taken for r in mixing.mix(docs).collect()) == [0, 0, 0]
