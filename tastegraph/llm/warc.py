@@ -85,13 +85,13 @@ class BundleWriter:
         self.bundle, self.out = -1, None
 
     def name(self) -> str:
-        return f"bundle-{self.partition}-{self.bundle:05d}.warc.zst"
+        return f"bundle-{self.partition}-{self.attempt}-{self.bundle:05d}.warc.zst"
 
     def add(self, raw: bytes) -> tuple[str, int, int, int]:
         """Bundle, frame, offset in the frame, and length of the record."""
         if self.out is None:
             self.bundle, self.sizes, self.frame, self.held, self.written = self.bundle + 1, [], [], 0, 0
-            self.out = self.files.open_output_stream(f"{self.folder}/.{self.name()}.{self.attempt}")
+            self.out = self.files.open_output_stream(f"{self.folder}/.{self.name()}", compression=None)
         place = (self.name(), len(self.sizes), self.held, len(raw))
         self.frame.append(raw)
         self.held += len(raw)
@@ -115,7 +115,7 @@ class BundleWriter:
             self._end_frame()
         self.out.write(seek_table(self.sizes))
         self.out.close()
-        self.files.move(f"{self.folder}/.{self.name()}.{self.attempt}", f"{self.folder}/{self.name()}")
+        self.files.move(f"{self.folder}/.{self.name()}", f"{self.folder}/{self.name()}")
         self.out = None
 
 
@@ -144,8 +144,9 @@ def write_bundles(pages: DataFrame, folder: str, revisit_min_bytes: int = 0, **c
     """Write every page as a record; returns the index (page_id, bundle, frame, frame_offset, record_length).
 
     Null html is an empty payload, a null url ``about:blank``; rows with equal ids and payloads are all responses
-    to each other's first id, since none is larger. The index is kept as a table beside the bundles, so a job that
-    is run again after a lost executor does not write twice under other names: names depend on the partition only.
+    to each other's first id, since none is larger. The index is kept as a table beside the bundles. Bundle names hold
+    the task attempt, so a repeated or speculative attempt never touches a bundle that the index names; what lost
+    attempts leave in the folder is named by no row of the index. Ids are whole numbers or text that is one.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -172,8 +173,15 @@ def write_bundles(pages: DataFrame, folder: str, revisit_min_bytes: int = 0, **c
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """(page_id, record_type, refers_to, payload_digest, payload) of the records named in an index, read from the bundles.
 
-    Records of a frame are looked up together: each frame is read and unpacked once, by the seek table.
+    Records of a frame are looked up together: each frame is read and unpacked once, by the seek table. The digest of every
+    payload is computed again; one that is not its record's own ends the job.
     """
+    def checked(raw: bytes) -> tuple:
+        found = parsed(raw)
+        if found[1] == "response" and base64.b32encode(hashlib.sha1(found[4]).digest()).decode() != found[3]:
+            raise ValueError(f"the payload of page {found[0]} does not have the digest of its record")
+        return found
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = fs.FileSystem.from_uri(folder)
         names, zstd = [x.split()[0] for x in RECORD.split(", ")], zstandard.ZstdDecompressor()
@@ -189,7 +197,7 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                 at, packed, plain = table[frame]
                 file.seek(at)
                 held = zstd.decompress(file.read(packed), max_output_size=plain)
-                out += [parsed(held[p["frame_offset"]:p["frame_offset"] + p["record_length"]]) for p in places]
+                out += [checked(held[p["frame_offset"]:p["frame_offset"] + p["record_length"]]) for p in places]
                 size += plain
                 if size >= 8 * FRAME_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -211,8 +219,7 @@ def archived(pages: DataFrame, revisit_min_bytes: int = 0, **columns: str) -> Da
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     index = write_bundles(pages, folder, revisit_min_bytes, **columns)
     back = written(read_bundles(index, folder).select(
-        "page_id", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("long").alias("own_bytes"),
-        F.sha1("payload").alias("own_sha1")), "warc-read")
+        "page_id", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("long").alias("own_bytes")), "warc-read")
     first = back.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("own_bytes").alias("full_bytes"))
     full = first.select("payload_digest", "full_bytes", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     met = back.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(full, ["payload_digest", "salt"], "left")

@@ -63,6 +63,30 @@ def test_one_record_from_one_frame(spark, pages):
     assert whole.startswith(b"WARC/1.1")
 
 
+def test_a_second_attempt_changes_nothing(spark, pages):
+    """Another attempt of the same partition, its rows in another order, ends after the index was written."""
+    folder = "file://" + run_path(spark, "warc-test")
+    index = warc.write_bundles(pages, folder)
+    for partition in {r.bundle.split("-")[1] for r in index.select("bundle").collect()}:
+        late = warc.BundleWriter(folder, partition, "99999")
+        for page_id, url, html, _ in reversed(ROWS):
+            late.add(warc.record(page_id, url, (html or "").encode() + b"late", sha((html or "") + "late"), None, False))
+        late.close()
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read_bundles(index, folder).collect() if r.record_type == "response"}
+    assert got == {i: t or "" for i, _, t, _ in ROWS if i in got} and {1, 3, 7, 8, 11} == set(got)
+
+
+def test_a_wrong_payload_is_found(spark):
+    folder = "file://" + run_path(spark, "warc-test")
+    files, path = fs.FileSystem.from_uri(folder)
+    files.create_dir(path)
+    writer = warc.BundleWriter(folder, "000000", "1")
+    index = spark.createDataFrame([(1, *writer.add(warc.record(1, "u", b"changed", sha("written"), None, False)))], warc.INDEX)
+    writer.close()
+    with pytest.raises(Exception, match="does not have the digest"):
+        warc.read_bundles(index, folder).collect()
+
+
 def test_small_frames_and_bundles(pages, monkeypatch):
     monkeypatch.setattr(warc, "FRAME_BYTES", 500)
     monkeypatch.setattr(warc, "BUNDLE_BYTES", 200)
