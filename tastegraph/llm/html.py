@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as entities
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,13 +35,18 @@ ARTICLE_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Tags around a whole page at times, and tags whose class may mark an article.
 WRAPPERS, HOLDERS = frozenset("form dialog".split()), frozenset("article main div section td".split())
-# Words of class, id and role that mark what is no main text, and those that may stand beside them in one token.
+# Words of class, id and role that mark what is no main text wherever they stand in a token.
 OUTER_WORDS = frozenset((
-    "nav navbar navigation menu header masthead footer sidebar aside widget widgets banner cookie cookies consent gdpr notice alert popup modal "
-    "overlay ad ads adv advert adverts advertisement adsense sponsor sponsored promo promoted comment comments reply replies respond disqus "
-    "breadcrumb breadcrumbs share sharing social related recommended newsletter subscribe subscription signup login search pagination pager toolbar "
-    "copyright complementary contentinfo dialog form tags toc").split())
-BESIDE = frozenset("site main global top bottom list area box bar links buttons item items slot unit block".split())
+    "nav navbar navigation menu masthead footer sidebar aside widget widgets banner cookie cookies consent gdpr popup modal overlay ad ads adv "
+    "advert adverts advertisement adsense sponsor sponsored promo promoted comment comments reply replies respond disqus breadcrumb breadcrumbs "
+    "related recommended newsletter subscribe subscription signup pagination pager toolbar copyright complementary contentinfo").split())
+# Words that mark it beside words of place and form only, and those words.
+STRICT_WORDS = frozenset("header notice alert share sharing social login search dialog form tags toc".split())
+BESIDE = frozenset((
+    "site main global top bottom left right list area box bar links button buttons item items slot unit block inner outer wrap wrapper container "
+    "sticky fixed").split())
+# Words that deny, or tell how a page is laid out around its text.
+LAYOUT = frozenset("no not non has have with without hide layout open closed collapsed expanded".split())
 REPLIES = frozenset("comment comments reply replies respond disqus".split())
 # Whole tokens of class, id, role and itemprop that mark an article.
 ARTICLE_WORDS = frozenset((
@@ -64,6 +70,7 @@ TAG = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-label|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.I)
 BLANKS = re.compile(r"\s+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: What stands around a word.
 AROUND = string.punctuation + "«»“”„‘’…–—¿¡"
 
@@ -80,11 +87,12 @@ class Block:
 
 def _outer_word(token: str) -> int:
     """Whether a token marks what is no main text: 2 for replies, which hold articles of their own, 1 for other words."""
-    parts = [x for x in re.split("[_-]", token) if x]
-    words = OUTER_WORDS.intersection(parts)
-    if not words or any(x not in OUTER_WORDS and x not in BESIDE for x in parts):
+    parts = {x for x in re.split("[_-]+", CAMEL.sub("-", token).lower()) if x}
+    if parts & LAYOUT or {"content", "sidebar"} <= parts:
         return 0
-    return 2 if words & REPLIES else 1
+    if parts & OUTER_WORDS:
+        return 2 if parts & REPLIES else 1
+    return int(bool(parts & STRICT_WORDS) and parts <= STRICT_WORDS | BESIDE)
 
 
 def _role(tag: str, attributes: str) -> tuple[int, bool]:
@@ -95,11 +103,11 @@ def _role(tag: str, attributes: str) -> tuple[int, bool]:
             if name.lower() == "hidden":
                 outer = 2
             elif name.lower() != "aria-label" and tag not in ("html", "body") and tag not in HEADINGS:
-                tokens = (a or b or c).lower().split()
+                tokens = (a or b or c).split()
                 word = 0 if tag in ARTICLE_TAGS else max(map(_outer_word, tokens), default=0)
                 if word:
                     outer = max(outer, word)
-                elif tag in HOLDERS and not ARTICLE_WORDS.isdisjoint(tokens):
+                elif tag in HOLDERS and not ARTICLE_WORDS.isdisjoint(map(str.lower, tokens)):
                     inner = True
     return outer, inner and not outer
 
@@ -108,6 +116,8 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks in order. Unclosed tags end with the tag around them; a raw-text tag ends at its end tag or the page."""
     found: list[Block] = []
     stack: list[tuple[str, int, bool]] = []
+    standing: list[int] = []  # places of block tags in the stack
+    opened: Counter[str] = Counter()  # open tags by name; what is not open is not looked for
     outer, inner, heading = 0, False, False
     links = at = 0
     current = Block(outer, inner)
@@ -124,6 +134,20 @@ def blocks(page: str) -> list[Block]:
             found.append(current)
         current = Block(outer, inner, heading)
 
+    def close(tag: str) -> None:
+        """End the last open ``tag`` and all that is open in it."""
+        nonlocal outer, inner
+        name = None
+        while name != tag:
+            name = stack.pop()[0]
+            opened[name] -= 1
+            if standing and standing[-1] == len(stack):
+                standing.pop()
+        outer, inner = stack[-1][1:] if stack else (0, False)
+
+    def in_heading() -> bool:
+        return any(opened[t] for t in HEADINGS)
+
     position = TAG.search
     while m := position(page, at):
         if m.start() > at:
@@ -140,18 +164,16 @@ def blocks(page: str) -> list[Block]:
                 continue
             if tag == "a":
                 links = max(0, links - 1)
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
-                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+            if opened[tag]:
+                close(tag)
             if tag in BLOCK_TAGS:
-                links, heading = 0, any(t in HEADINGS for t, _, _ in stack)
+                links, heading = 0, in_heading()
                 end()
             continue
         if tag in RAW_TAGS:
             if not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else len(page)
+                last = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = last.end() if last else len(page)
             if tag in BLOCK_TAGS:
                 end()
             continue
@@ -159,19 +181,19 @@ def blocks(page: str) -> list[Block]:
             if tag in BLOCK_TAGS:
                 end()
             continue
-        if tag == "p" or tag == "li":  # a new one ends the one before
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None and all(t[0] not in BLOCK_TAGS for t in stack[depth + 1:]):
-                del stack[depth:]
-                outer, inner = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        if tag in ("p", "li") and standing and stack[standing[-1]][0] == tag:  # a new one ends the one before
+            close(tag)
         opens_outer, opens_inner = _role(tag, m[3])
         if tag in BLOCK_TAGS or opens_outer or opens_inner:
             if tag in ARTICLE_TAGS and outer < 2:
                 outer = 0
             outer, inner = max(outer, 0 if inner and tag == "header" else opens_outer), inner or opens_inner
+            if tag in BLOCK_TAGS:
+                standing.append(len(stack))
             stack.append((tag, outer, inner))
+            opened[tag] += 1
         if tag in BLOCK_TAGS:
-            links, heading = 0, any(t in HEADINGS for t, _, _ in stack)
+            links, heading = 0, in_heading()
             end()
         links += tag == "a"
     if at < len(page):
