@@ -3,12 +3,18 @@
 A text is lower-cased and cut into all runs of two, three and four UTF-8 bytes; each run is hashed to a row of an
 embedding table, the rows are averaged, and a linear layer with softmax gives the languages. Both are trained by
 stochastic gradient descent in numpy on a bounded sample of labelled rows. Since average and layer are linear, a
-prediction only sums one score per run and language. A held-back part of the sample sets the softmax temperature
-and the probability below which a text is rejected.
+prediction only sums one score per run and language. A held-back part of the sample, whole and in short cuts, sets the
+softmax temperature.
+
+A text is rejected for either of two reasons, both calibrated on the held-back part: its best language has too low a
+probability, or its runs are too rare in the learned languages. The second is the mean log frequency of its runs, one
+more score per run. It is held against that of the rarest held-back texts, with room for chance that shrinks with the
+square root of the text's length, since a softmax alone is sure of texts in languages it has never seen.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,19 +30,35 @@ BUCKETS, WIDTH = 1 << 16, 16
 FIT_ROWS, FIT_CHARS = 500, 20_000
 #: Share of held-back labelled rows that may be rejected, and the highest threshold.
 REJECT_SHARE, REJECT_MOST = 0.001, 0.5
+#: Room below the rarest held-back texts, as a share of their distance from the median, and in deviations of the mean of a text's runs.
+ROOM, DEVIATIONS = 0.25, 4.0
+#: Words in the cuts of held-back texts that set the temperature.
+CUTS = (1, 2, 4)
 #: Bytes whose runs are hashed at once.
 PIECE = 1 << 20
 
 
 @dataclass
 class Model:
-    """``scores``: (buckets, languages); a text's logits are the mean score of its runs plus ``bias``, over ``temperature``."""
+    """``scores``: (buckets, languages); a text's logits are the mean score of its runs plus ``bias``, over ``temperature``.
+
+    ``common``: log frequency of each bucket in the learned texts; a text is known if the mean over its runs is at least
+    ``usual`` less ``spread`` over the square root of their number.
+    """
 
     languages: list[str]
     scores: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    common: np.ndarray | None = None
+    usual: float = -np.inf
+    spread: float = 0.0
+
+    @functools.cached_property
+    def table(self) -> np.ndarray:
+        common = np.zeros(len(self.scores), np.float32) if self.common is None else self.common
+        return np.column_stack([self.scores, common])
 
 
 def has_letter(text: str | None) -> bool:
@@ -61,16 +83,20 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return rows, (counts / counts.sum()).astype(np.float32)
 
 
-def logits(model: Model, text: str) -> np.ndarray:
-    """Mean score of the whole text, piece by piece so that memory does not grow with it."""
+def measured(table: np.ndarray, text: str) -> tuple[np.ndarray, int]:
+    """Mean row of ``table`` over the runs of the whole text, and their number; piece by piece so that memory does not grow."""
     data = np.frombuffer(f" {text.lower()} ".encode(), np.uint8)
-    total, runs = np.zeros(len(model.languages)), 0
+    total, runs = np.zeros(table.shape[1]), 0
     for start in range(0, len(data), PIECE):
         for n, rows in hashed(data[start:start + PIECE + max(RUNS) - 1]):
             rows = rows[:min(PIECE, len(data) - start - n + 1)]
-            total += model.scores[rows].sum(axis=0, dtype=np.float64)
+            total += table[rows].sum(axis=0, dtype=np.float64)
             runs += len(rows)
-    return total / max(runs, 1) + model.bias
+    return total / max(runs, 1), runs
+
+
+def logits(model: Model, text: str) -> np.ndarray:
+    return measured(model.scores, text)[0] + model.bias
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -109,20 +135,35 @@ def train(texts: list[str], labels: list[str], epochs: int = 6, rate: float = 8.
             bias -= pace * 0.01 * wrong
             table[rows] = own - pace * np.outer(shares, back)
             step += 1
-    model = Model(languages, table @ layer, bias)
+    seen = np.zeros(BUCKETS)
+    for k in kept or range(len(texts)):
+        rows, shares = bag(texts[k])
+        seen[rows] += shares * len(texts[k])
+    common = np.log((seen + 0.5) / (seen.sum() + 0.5 * BUCKETS)).astype(np.float32)
+    model = Model(languages, table @ layer, bias, common=common)
     return calibrated(model, [texts[k] for k in held], [labels[k] for k in held])
 
 
 def calibrated(model: Model, texts: list[str], labels: list[str]) -> Model:
-    """Set the temperature of least loss and the threshold that rejects at most ``REJECT_SHARE`` of these rows."""
+    """Set the temperature of least loss over these rows and short cuts of them, and both bounds of rejection, from the least
+    sure and the rarest of ``REJECT_SHARE`` of these rows."""
     if not texts:
         return model
-    z = np.array([logits(model, t) for t in texts])
-    y = np.array([model.languages.index(x) for x in labels])
-    loss = lambda t: -np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean()
-    model.temperature = float(min((0.05 * 1.25 ** k for k in range(25)), key=loss))
+    found = [measured(model.table, t) for t in texts]
+    z, known = np.array([m[:-1] + model.bias for m, _ in found]), np.sort([m[-1] for m, _ in found])
+    cuts = [(c, x) for t, x in zip(texts, labels, strict=True) for n in CUTS if has_letter(c := " ".join(t.split()[n:2 * n]))]
+    short = np.array([logits(model, c) for c, _ in cuts]).reshape(len(cuts), len(model.languages))
+    y = np.array([model.languages.index(x) for x in (*labels, *(x for _, x in cuts))])
+    loss = lambda t: -np.log(softmax(np.concatenate([z, short]) / t)[np.arange(len(y)), y] + 1e-12).mean()
+    model.temperature = float(min((0.001 * 1.2 ** k for k in range(60)), key=loss))
     sure = np.sort(softmax(z / model.temperature).max(axis=1))
-    model.threshold = float(min(REJECT_MOST, 0.9 * sure[int(REJECT_SHARE * len(sure))]))
+    last = int(REJECT_SHARE * len(sure))
+    model.threshold = float(min(REJECT_MOST, 0.9 * sure[last]))
+    weight = np.exp(model.common.astype(float))
+    weight /= weight.sum()
+    deviation = np.sqrt(weight @ model.common.astype(float) ** 2 - (weight @ model.common.astype(float)) ** 2)
+    model.usual = float(known[last] - ROOM * (np.median(known) - known[last]))
+    model.spread = float(DEVIATIONS * deviation)
     return model
 
 
@@ -155,9 +196,11 @@ def predict(model: Model, text: str | None) -> tuple[str, float, bool]:
     """(language, probability, rejected); a model that knows no language rejects only what has no letter."""
     if not has_letter(text) or not model.languages:
         return UNKNOWN, 0.0, not has_letter(text)
-    p = softmax(logits(model, text) / model.temperature)
+    mean, runs = measured(model.table, text)
+    p = softmax((mean[:-1] + model.bias) / model.temperature)
     best = int(p.argmax())
-    return model.languages[best], float(p[best]), bool(p[best] < model.threshold)
+    rare = mean[-1] < model.usual - model.spread / np.sqrt(max(runs, 1))
+    return model.languages[best], float(p[best]), bool(p[best] < model.threshold or rare)
 
 
 def language(docs: DataFrame, model: Model, text: Column) -> Column:

@@ -54,3 +54,33 @@ def test_unsure_texts_are_rejected():
     assert langid.predict(model, german)[0] == "de" and not langid.predict(model, english)[2]
     model.threshold = 0.99
     assert langid.predict(model, "zzz qqq")[2]
+
+
+#: Rejected share of documents of 20 words and more in languages that the model has not learned.
+LEFT_OUT = 0.9
+FOREIGN = [
+    "Kissa istui matolla ja oli iloinen, koska talossa oli ruokaa kaikille, jotka tulivat sinne illalla", "Кошка сидела на коврике и была рада, что все пришли",
+    "Kot siedział na macie i był szczęśliwy, że wszyscy przyszli wieczorem po jedzenie", "Macska ült a szőnyegen és boldog volt, hogy eljöttek az ételért",
+]
+
+
+def test_languages_never_seen_are_rejected(spark, folder):
+    """A softmax is sure of them; the frequency of their runs is not. The temperature lies inside its grid."""
+    docs = read_table(spark, folder.replace("sf0.001", "sf0.01"), "documents")
+    model = langid.fit(docs)
+    assert 0.001 < model.temperature < 0.001 * 1.2 ** 59
+    assert all(langid.predict(model, t)[2] for t in FOREIGN)
+    for text in ("The cat sat on the mat and was glad that they had come", "Die Katze saß auf der Matte und war froh", "ok", "Le chat"):
+        assert not langid.predict(model, text)[2]
+    held = [r.text for r in docs.where("lang is not null").where(~langid.learnable(docs.doc_id)).collect()]
+    assert sum(langid.predict(model, t)[2] for t in held) <= 0.01 * len(held)
+
+
+def test_rejection_of_languages_left_out(spark, folder):
+    """Trained on two of the four languages, documents of the others mostly go and those of the two stay."""
+    rows = [r for r in read_table(spark, folder.replace("sf0.001", "sf0.01"), "documents").orderBy("doc_id").collect() if r.lang and langid.has_letter(r.text) and len(r.text) < 20_000]
+    learned = [r for r in rows if r.lang in ("de", "en")]
+    model = langid.train([r.text for r in learned[::2]], [r.lang for r in learned[::2]])
+    share = lambda some: sum(langid.predict(model, r.text)[2] for r in some) / len(some)
+    assert share(learned[1::2]) <= 0.02
+    assert share([r for r in rows if r.lang in ("es", "fr") and len(r.text.split()) >= 20]) >= LEFT_OUT
