@@ -245,9 +245,11 @@ def measured(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return parts.groupBy(*PAIR).agg(F.sum("part").alias("both"), F.flatten(F.collect_list("delta")).alias("delta"))
 
 
-def by_difference(members: DataFrame, labels: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
+def by_difference(members: DataFrame, first: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
     """Links that differences alone prove (low, high), and the pairs that may be linked besides (low, high, low_n, high_n).
 
+    The pairs lie in different components of the links ``first`` and the proved ones.
+
     ``members`` (head, set, n, own, delta): a set's difference from its head are its ``own`` n-grams and ``delta``. Sets x
     and y differ by |dx| + |dy| - 2 |dx and dy| n-grams, and are linked if that is at most (1 - t) / (1 + t) of the sum
     of their sizes. With slack(x) = |dx| (1 + t) - |x| (1 - t) they surely are if slack(x) + slack(y) <= 0, and otherwise
@@ -260,8 +262,9 @@ def by_difference(members: DataFrame, labels: DataFrame, per_cent: int) -> tuple
     known = members.withColumn("slack", plus * whole - minus * F.col("n"))
     tight = known.groupBy("head").agg(F.min(F.struct("slack", "set")).alias("tight"))
     known = known.join(tight, "head")
-    proved = known.where((F.col("slack") + F.col("tight.slack") <= 0) & (F.col("set") != F.col("tight.set"))).select(
-        F.col("set").alias("low"), F.col("tight.set").alias("high"))
+    proved = written(known.where((F.col("slack") + F.col("tight.slack") <= 0) & (F.col("set") != F.col("tight.set"))).select(
+        F.col("set").alias("low"), F.col("tight.set").alias("high")), "ngram-proved")
+    labels = components(first.unionAll(proved))
     placed = known.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     several = placed.groupBy("head").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("m")).where("a < b").select("head", "m")
@@ -329,7 +332,7 @@ def classes(docs: DataFrame, n: int = 5, per_cent: int = 80, id_column: str = "d
     members = met.select(F.col("high").alias("head"), F.col("low").alias("set"), "delta").unionByName(
         met.select(F.col("high").alias("head")).distinct().select("head", F.col("head").alias("set"), F.array().cast("array<long>").alias("delta")))
     members = members.join(own, "set")
-    proved, rest = by_difference(members, components(first), per_cent)
+    proved, rest = by_difference(members, first, per_cent)
     second = written(linked(rest, segments, per_cent).unionAll(proved), "ngram-links")
     links = first.unionAll(second)
     joined = components(links)
@@ -346,7 +349,8 @@ def classes(docs: DataFrame, n: int = 5, per_cent: int = 80, id_column: str = "d
 def one_of_each(docs: DataFrame, n: int = 5, per_cent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id, once.
 
-    Documents without words stay; of rows that repeat an id and a set one stays. Columns and their names are kept.
+    Documents without words stay, repeated ones too; of other rows that repeat an id and a text one stays. Columns and
+    their names are kept.
     """
     found = written(classes(docs, n, per_cent, id_column, text_column).where("set is not null"), "ngram-found")
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
@@ -354,6 +358,8 @@ def one_of_each(docs: DataFrame, n: int = 5, per_cent: int = 80, id_column: str
     gone = found.join(first, "component").where(row != F.col("first")).select(F.col("doc_id").alias("gone"), F.col("text_key").alias("gone_key")).distinct()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_column).alias("id"), F.xxhash64(text_column).alias("key"))
     kept = whole.join(gone, F.col("id").eqNullSafe(F.col("gone")) & (F.col("key") == F.col("gone_key")), "left_anti")
-    if not found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").isEmpty():
-        kept = kept.dropDuplicates(["id", "key"])  # rows that repeat as a whole
+    again = found.groupBy(F.col("doc_id").alias("again"), F.col("text_key").alias("again_key")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    if not again.isEmpty():  # rows that repeat as a whole
+        same = F.col("id").eqNullSafe(F.col("again")) & (F.col("key") == F.col("again_key"))
+        kept = kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates(["id", "key"]))
     return kept.select("row.*")

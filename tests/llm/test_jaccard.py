@@ -105,6 +105,8 @@ def test_edges(spark):
     kept = jaccard.one_of_each(docs, 3, 90)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 9]
+    empty = spark.createDataFrame([(None, None, "a", 1), (None, "", "b", 2), (None, None, "a", 1), (7, " ", "c", 3), (7, " ", "c", 3)], SCHEMA)
+    assert sorted(r.set for r in jaccard.one_of_each(docs.unionAll(empty), 3, 90).collect()) == [1, 1, 1, 1, 1, 1, 2, 3, 3]
 
 
 def test_hash_of_long_and_odd_words():
