@@ -47,7 +47,9 @@ DIGIT = re.compile(r"[0-9]")
 #: Words that announce a secret, by strength: a phrase of words, a secret, perhaps a secret.
 ANNOUNCE = {3: re.compile(r"passphrase|mnemonic", re.I), 2: re.compile(r".*(?:passw|pwd|secret|token|bearer|credential).*|pass|private", re.I | re.S),
             1: re.compile(r"api|.{0,6}key|auth|authorization|access|login|signature|sig", re.I | re.S)}
-HINTS = re.compile(r"pass|pwd|secret|token|api|key|auth|bearer|cred|private|access|login|sig|mnemonic", re.I)
+#: Each of those words holds one of these.
+HINT_PARTS = tuple("pass pwd secret token api key auth bearer cred private access login sig mnemonic".split())
+HINTS = re.compile("|".join(HINT_PARTS), re.I)
 HARMLESS = re.compile(
     r"(?P<number>[-+$€£(]*[0-9][0-9.,+/:%()_-]*)|(?P<uuid>[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})|(?P<mail>[^@\s/]+@[^@\s/]+\.[a-z]+)"
     r"|(?P<address>(?:https?://|www\.).*|[\w./-]*\.(?:com|org|net|html?|php|png|jpe?g|pdf|css|js|txt|py|md)(?:/.*)?)", re.S)
@@ -259,6 +261,7 @@ class Bounds(dict[str, float]):
         super().__init__()
         self.field = field
         self.simple: dict[tuple, float] = {}
+        self.hints: tuple[str, ...] = HINT_PARTS  # those that the text at hand may hold
         moves = field.step[:BEYOND] - field.step[:BEYOND, OUT, OUT][:, None, None]
         into = [*moves[:, OUT, BEGIN], *moves[:, 1:, 1:].ravel()]
         leave = moves[:, 1:, OUT].ravel()
@@ -279,7 +282,7 @@ class Bounds(dict[str, float]):
 
     def __missing__(self, word: str) -> float:
         simple = SIMPLE.fullmatch(word)
-        if simple and not HINTS.search(word) and not simple[2].startswith(PREFIXES) and (kind := kind_of(simple[2])) in LETTERS:
+        if simple and not self.hinted(word) and not simple[2].startswith(PREFIXES) and (kind := kind_of(simple[2])) in LETTERS:
             # all that such words' features depend on; a word that announces a secret holds a hint
             key = (simple[1], kind, len(simple[2]), simple[3])
             value = self.simple.get(key)
@@ -295,6 +298,12 @@ class Bounds(dict[str, float]):
             self[word] = value
         return value
 
+    def hinted(self, word: str) -> bool:
+        if not self.hints:
+            return False
+        low = word.casefold()
+        return "ı" in low or any([h in low for h in self.hints])
+
     def loss(self, word: str) -> float:
         inside = parts(word)
         if any(p.hint for p in inside):
@@ -311,8 +320,10 @@ class Bounds(dict[str, float]):
             worst = max(worst, gain)
         return worst if worst <= -self.least else 1.0
 
-    def stretches(self, words: list[str]) -> list[tuple[int, int]]:
-        """Ranges of words outside which every token is proved outside."""
+    def stretches(self, words: list[str], text: str | None = None) -> list[tuple[int, int]]:
+        """Ranges of words outside which every token is proved outside. A ``text`` without hints needs no search for them in its words."""
+        low = None if text is None else text.casefold()
+        self.hints = tuple(h for h in HINT_PARTS if low is None or h in low or "ı" in low)
         loss = np.fromiter(map(self.__getitem__, words), float, len(words))
         live = loss > 0
         for k in np.flatnonzero(loss == 2).tolist():
@@ -349,7 +360,7 @@ def tagged(field: Field, words: list[str], lo: int, hi: int, whole: list[str]) -
 def field_spans(field: Field, text: str, skip: bool = True) -> list[tuple[int, int]]:
     """(start, end) of the best tagging's secrets; without ``skip`` every token goes through Viterbi."""
     words = CHUNK.findall(text)
-    stretches = field.bounds.stretches(words) if skip else [(0, len(words))] if words else []
+    stretches = field.bounds.stretches(words, text) if skip else [(0, len(words))] if words else []
     if not stretches:
         return []
     places = [m.start() for m in CHUNK.finditer(text)]
