@@ -110,3 +110,13 @@ def test_large_entries(spark):
     assert all(r.deviation is None for r in got if r.vec_id == 5) and all(r.explained < 1 + 1e-9 for r in got)
     found = sorted((r.vec_id, r.whitened) for r in got if r.component == 1)
     assert abs(sum(w for _, w in found)) < 1e-9 and abs(sum(w * w for _, w in found) / 6 - 1) < 1e-9
+
+
+def test_vectors_of_a_multiple_eigenvalue_are_orthogonal():
+    """Also where rounding makes its counts look like those of single ones."""
+    draw = np.random.default_rng(1)
+    for _ in range(40):
+        q, _ = np.linalg.qr(draw.standard_normal((4, 4)))
+        m = q @ np.diag([1e-12, 3e-13, 0, 0]) @ q.T
+        _, vectors = whitening.leading((m + m.T) / 2, 4)
+        assert np.abs(vectors @ vectors.T - np.eye(4)).max() < 1e-6
