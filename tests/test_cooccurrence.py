@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tastegraph.operators import embeddings
@@ -37,3 +38,20 @@ def test_vectors_know_clusters(spark, ratings_of):
     assert sum(same) >= 0.95 * len(same)
     row = embeddings.neighbour_overlap(vectors, vectors, 5).first()
     assert (row["items"], row["overlap"]) == (40, 1.0)
+
+
+@pytest.mark.parametrize("kind", [np.int64, object])
+def test_first_of_a_row_is_the_head_of_the_sorted_row(kind):
+    """Ties, rows without a cosine, several rows of the query, fewer rows than asked for."""
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 5, 6, 60):
+        for _ in range(20):
+            ids = rng.integers(0, max(size // 2, 1), size).astype(str if kind is object else kind).astype(kind)
+            cos = rng.integers(-3, 4, size) / 4
+            cos[rng.random(size) < 0.1] = np.nan
+            query = ids[0] if size else 1
+            others = ids != query
+            order = np.lexsort((ids[others], -cos[others]))[:5]
+            names, got, values = embeddings._first(query, ids, cos, 5)
+            assert list(got) == list(ids[others][order]) and set(names) <= {query}
+            np.testing.assert_array_equal(values, cos[others][order])
