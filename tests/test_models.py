@@ -146,3 +146,16 @@ def test_rankers_score_after_observed_metrics(spark, sets, fit):
     assert observed.get["n"] > 0
     scored = rankers.score_batch(fit(train, iterations=2), test)
     assert scored.count() == test.count() and scored.filter("score is null or score < 0 or score > 1").isEmpty()
+
+
+def test_models_are_fitted_on_as_many_partitions_as_there_are_cores(spark, monkeypatch):
+    """Each partition sends a gradient of the model's size in every iteration, whatever the number of shuffle partitions."""
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(16 * cores))
+    try:
+        assert rankers._fit_parts(spark.range(1_000)) == cores
+        monkeypatch.setattr(rankers, "FIT_ROWS", 100)
+        assert rankers._fit_parts(spark.range(100 * cores + 201)) == cores + 3
+        assert rankers._fit_parts(spark.range(10_000 * cores)) == 16 * cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
