@@ -78,6 +78,21 @@ def test_lists_of_a_fitted_model(spark, folder):
             assert {i for i, s in got[r[own]] if s > last + 1e-4} == {i for i, s in want if s > last + 1e-4}
 
 
+def test_lists_for_all_are_those_of_the_model_without_its_cross_join(spark, folder):
+    model = factors.als_fit(tables.ratings(spark, folder))
+    for bounded, whole, other in (
+        (factors.recommend_items_for_all_users(model, 7), model.recommendForAllUsers(7), "movieId"),
+        (factors.recommend_users_for_all_items(model, 7), model.recommendForAllItems(7), "userId"),
+    ):
+        plan = bounded._jdf.queryExecution().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan and bounded.dtypes == whole.dtypes
+        got, want = ({r[0]: [(e[other], e["rating"]) for e in r.recommendations] for r in t.collect()} for t in (bounded, whole))
+        assert set(got) == set(want)
+        for own, listed in want.items():
+            assert all(abs(x - y) < 1e-4 for (_, x), (_, y) in zip(got[own], listed, strict=True))
+            assert {i for i, s in got[own] if s > listed[-1][1] + 1e-4} == {i for i, s in listed if s > listed[-1][1] + 1e-4}
+
+
 def _tables(askers, items, width, seed=1):
     draw = np.random.default_rng(seed)
 
