@@ -58,3 +58,15 @@ def test_missing_vectors_and_empty_table(spark):
     assert {r.id for r in classes.collect()} == {1, 3} and [(r.low, r.high) for r in pairs.collect()] == [(1, 3)]
     classes, pairs, report = embeddings.similar_pairs(some.limit(0), 0.5)
     assert classes.collect() == [] and pairs.collect() == [] and report.first().true_pairs == 0
+
+
+@pytest.mark.parametrize("shard_rows", [50_000, 30])
+def test_wide_buckets_do_not_meet_more_pairs_than_there_are(spark, monkeypatch, shard_rows):
+    vectors = groups(30, 5)
+    monkeypatch.setattr(embeddings, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(embeddings, "_met_pairs", None)  # every table would have all vectors in a handful of buckets
+    _, pairs, report = embeddings.similar_pairs(table(spark, vectors), 0.5, recall=0.9999, width=1, bucket_length=50.0)
+    got = {(r.low, r.high): r.distance for r in pairs.collect()}
+    want = plain(vectors, 0.5)
+    assert set(got) == set(want) and pairs.count() == len(got) and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+    assert report.first().tables == 0 and report.first().found_pairs == report.first().true_pairs
