@@ -159,3 +159,14 @@ def test_models_are_fitted_on_as_many_partitions_as_there_are_cores(spark, monke
         assert rankers._fit_parts(spark.range(10_000 * cores)) == 16 * cores
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_als_removes_the_shuffle_files_of_earlier_iterations(spark, ratings_of):
+    rated = ratings_of([(u, m, float(1 + (u * m) % 5), u) for u in range(30) for m in range(20) if (u + m) % 3]).persist()
+    rated.count()
+    held = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    before = held()
+    model = factors.als_fit(rated, iterations=9)
+    assert held() - before < 9  # each iteration has two
+    assert model.itemFactors.count() == 20 and model.userFactors.count() == 30
+    rated.unpersist()
