@@ -19,6 +19,7 @@ import functools
 import hashlib
 import itertools
 import math
+import operator
 import random
 import re
 from collections import Counter
@@ -69,6 +70,8 @@ REACH = 8
 FIT_DOCS, FIT_CHARS, FIT_WINDOWS, WINDOW, ROUNDS = 2_000, 20_000, 1_200, 40, 8
 #: Words whose bounds a worker remembers, and the longest of them.
 KNOWN_WORDS, KNOWN_LENGTH = 150_000, 48
+#: Words whose tokens a worker remembers.
+KNOWN_PARTS = 20_000
 
 Span = tuple[str, int, int]
 
@@ -124,29 +127,52 @@ class Part:
     shape: str
     names: list[str]
     hint: int
+    #: The field that weighed the names last, and their sums.
+    weighed: tuple[object, tuple[float, float, float]] | None = None
+
+
+class Sorts(dict[str, tuple[bool, bool, bool]]):
+    """What sort of character each one is."""
+
+    def __missing__(self, c: str) -> tuple[bool, bool, bool]:
+        self[c] = value = (c.isdigit(), c.isupper(), c.isalnum())
+        return value
+
+
+SORTS = Sorts()
 
 
 def parts(word: str) -> list[Part]:
     """The tokens of a word with features that depend on the word alone."""
+    return known_parts(word) if len(word) <= KNOWN_LENGTH else parts_anew(word)
+
+
+def parts_anew(word: str) -> list[Part]:
     core = word.strip(EDGE_MARKS)
     form, size = shape(core), min(len(core) // 4, 10)
-    entropy = 0.0 if not core or form in LETTERS else -sum(n / len(core) * math.log2(n / len(core)) for n in Counter(core).values())
-    sorts = [(c.isdigit(), c.isupper(), c.isalnum()) for c in core]
-    changes = sum(a != b for a, b in itertools.pairwise(sorts))
+    entropy = 0.0
+    if core and form not in LETTERS:
+        shares = [core.count(c) / len(core) for c in dict.fromkeys(core)] if len(core) <= KNOWN_LENGTH else [n / len(core) for n in Counter(core).values()]
+        entropy = -sum([p * math.log2(p) for p in shares])
+    sorts = list(map(SORTS.__getitem__, core))
+    changes = sum(map(operator.ne, sorts, sorts[1:]))
     whole = ["any=", f"shape={form}", f"size={form},{size}", f"entropy={size},{int(2 * entropy)}", f"changes={size},{min(changes, 8)}"]
     whole += [f"prefix={p}" for p in PREFIXES if core.startswith(p)][:1]
     found = list(TOKEN.finditer(word))
+    kinds = ["", *[kind_of(m[0]) for m in found], ""]
     out = []
     for k, m in enumerate(found):
-        token, kind = m[0], kind_of(m[0])
-        before, after = (found[k - 1][0] if k else ""), (found[k + 1][0] if k + 1 < len(found) else "")
-        names = [*whole, f"kind={kind}", f"length={kind},{min(len(token) // 3, 8)}",
-                 f"glued={kind_of(before) if before else ''}", f"next={kind_of(after) if after else ''}",
+        token, kind = m[0], kinds[k + 1]
+        names = [*whole, f"kind={kind}", f"length={kind},{min(len(token) // 3, 8)}", f"glued={kinds[k]}", f"next={kinds[k + 2]}",
                  f"edge={kind if k in (0, len(found) - 1) else ''}"]
         out.append(Part(m.start(), m.end(), token, kind, form, names, announces(token)))
     return out
 
 
+#: A word is met when its bound is sought, and again in a stretch.
+known_parts = functools.lru_cache(KNOWN_PARTS)(parts_anew)
+
+
 def around(part: Part, hint: str, since: int) -> list[str]:
     """What the words before a token announce."""
     return [f"hint={hint}", f"hint-shape={hint},{part.shape}", f"hint-kind={hint},{part.kind}", f"hint-since={hint},{since}"]
@@ -165,14 +191,19 @@ def side(word: str | None) -> str:
 
 @dataclass
 class Row:
-    """A token in its place: word and offsets in it, feature names, and how it meets the token before."""
+    """A token in its place: word and offsets in it, names of features of the place, and how it meets the token before."""
 
     word: int
     start: int
     end: int
-    names: list[str]
+    part: Part
+    placed: list[str]
     meets: int
 
+    @property
+    def names(self) -> list[str]:
+        return [*self.part.names, *self.placed]
+
 
 def rows_of(words: list[str], lo: int, hi: int, whole: list[str]) -> list[Row]:
     """The tokens of words ``lo`` to ``hi`` with all their features. No word before ``lo`` may announce a secret in them."""
@@ -185,13 +216,13 @@ def rows_of(words: list[str], lo: int, hi: int, whole: list[str]) -> list[Row]:
         for at, part in enumerate(inside):
             since += 1
             near = (f"{strength}{'told' if told else ''}", since) if since <= REACH else NO_HINT
-            names = [*part.names, *around(part, *near), *whole]
+            names = [*around(part, *near), *whole]
             if at == 0:
                 names.append(f"before={before}")
             if at == len(inside) - 1:
                 names.append(f"after={'line' if after == 'line' else 'word'}")
             meets = GLUED if at else LINE if before == "line" or word == "\n" else SPACED
-            out.append(Row(k, part.start, part.end, names, meets))
+            out.append(Row(k, part.start, part.end, part, names, meets))
             if part.kind == "\n":
                 since = REACH + 1
             elif part.hint:
@@ -202,6 +233,7 @@ def rows_of(words: list[str], lo: int, hi: int, whole: list[str]) -> list[Row]:
     return out
 
 
+ZERO = (0.0, 0.0, 0.0)
 ALLOWED = np.array([[0, 0, NEVER], [0, 0, 0], [0, 0, 0]], float)
 
 
@@ -221,21 +253,34 @@ class Field:
         return {"weights": self.weights, "step": self.step}
 
     def scores(self, rows: list[Row]) -> list[tuple[float, float, float]]:
-        zero = (0.0, 0.0, 0.0)
-        return [tuple(map(sum, zip(*(self.weights.get(n, zero) for n in r.names), strict=True))) for r in rows]
+        return [self.weigh(r.part, r.placed) for r in rows]
+
+    def weigh(self, part: Part, placed: list[str]) -> tuple[float, float, float]:
+        """Sums of the weights of a token's own features, which are kept with it, and of its place's."""
+        get = self.weights.get
+        if part.weighed is None or part.weighed[0] is not self:
+            part.weighed = self, tuple(map(sum, zip(*[get(n, ZERO) for n in part.names], strict=True)))
+        return tuple(map(sum, zip(part.weighed[1], *[get(n, ZERO) for n in placed], strict=True)))
 
 
 def viterbi(scores, meets: list[int], end: int, step: np.ndarray) -> list[int]:
     """Best tags of a stretch with outside before and after it; a tie goes to outside, then begin."""
     moves = (step + ALLOWED).tolist()
+    into = [list(zip(*move)) for move in moves]
     best, back = [0.0, NEVER, NEVER], []
     for row, kind in zip(scores, meets, strict=True):
-        move, after, pointers = moves[kind], [], []
-        for tag in (OUT, BEGIN, INSIDE):
-            through = [best[a] + move[a][tag] for a in (OUT, BEGIN, INSIDE)]
-            value = max(through)
-            after.append(value + row[tag])
-            pointers.append(through.index(value))
+        after, pointers = [], []
+        for (out, begin, inside), own in zip(into[kind], row):
+            out, begin, inside = out + best[OUT], begin + best[BEGIN], inside + best[INSIDE]
+            if out >= begin and out >= inside:
+                after.append(out + own)
+                pointers.append(OUT)
+            elif begin >= inside:
+                after.append(begin + own)
+                pointers.append(BEGIN)
+            else:
+                after.append(inside + own)
+                pointers.append(INSIDE)
         best = after
         back.append(pointers)
     last = [best[a] + moves[end][a][OUT] for a in (OUT, BEGIN, INSIDE)]
@@ -277,6 +322,7 @@ class Bounds(dict[str, float]):
             if sort in self.file:
                 self.file[sort] = max(self.file[sort], best[name])
         self.best = best
+        self.ends = {e: max(0.0, *(best.get(f"{e}={v}", 0.0) for v in ("line", "word"))) for e in ("before", "after")}
         start = sum(begin.values()) + float(moves[:, 1:, INSIDE].max() - moves[:, OUT, BEGIN].min())
         self.change = 0.5 + max(0.0, float(leave.max() - leave.min()), max(0.0, start) + max(0.0, -float(leave.min())))
 
@@ -310,13 +356,11 @@ class Bounds(dict[str, float]):
             return 2.0
         if word[-1] in ":=":
             return 3.0
-        zero = (0.0, 0.0, 0.0)
-        ends = {e: max(0.0, *(self.best.get(f"{e}={v}", 0.0) for v in ("line", "word"))) for e in ("before", "after")}
         worst = -math.inf
         for k, part in enumerate(inside):
-            o, b, i = map(sum, zip(*(self.field.weights.get(n, zero) for n in (*part.names, *around(part, *NO_HINT))), strict=True))
+            o, b, i = self.field.weigh(part, around(part, *NO_HINT))
             gain = max(b, i) - o + self.into + sum(self.file.values())
-            gain += ends["before"] * (k == 0) + ends["after"] * (k == len(inside) - 1)
+            gain += self.ends["before"] * (k == 0) + self.ends["after"] * (k == len(inside) - 1)
             worst = max(worst, gain)
         return worst if worst <= -self.least else 1.0
 

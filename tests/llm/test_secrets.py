@@ -156,3 +156,19 @@ def test_edges(spark, field):
     assert secrets.scanned(docs.where("false")).count() == 0
     clean = docs.select(secrets.redacted(docs, field, docs.text).alias("t")).collect()
     assert sorted(str(r.t)[:12] for r in clean) == ["", "None", "[SECRET] x", "[SECRET] x", "plain plain "]
+
+
+def test_a_word_is_taken_apart_once(monkeypatch):
+    """Its tokens and the sums of their weights are kept for the search of bounds, for stretches and for the next text."""
+    field = secrets.train(["token = Zk3v9QpL2mX8 and more words", "plain words only, none of them secret"], rounds=1)
+    taken = []
+    whole = secrets.shape
+    monkeypatch.setattr(secrets, "shape", lambda word: taken.append(word) or whole(word))
+    secrets.known_parts.cache_clear()
+    first = secrets.field_spans(field, "my password: Zk3v9-QpL2+mX8 for x%%% and y%%%")
+    assert taken and len(taken) == len(set(taken))
+    seen = len(taken)
+    assert secrets.field_spans(field, "my password: Zk3v9-QpL2+mX8 for x%%% and y%%%") == first and len(taken) == seen
+    rows = secrets.rows_of("my password: Zk3v9-QpL2+mX8".split(), 0, 3, ["file-size=1"])
+    for row, got in zip(rows, field.scores(rows), strict=True):
+        assert got == pytest.approx([sum(field.weights.get(n, (0, 0, 0))[tag] for n in row.names) for tag in range(3)], abs=1e-9)
